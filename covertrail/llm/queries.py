@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from . import quality, secrets
+from . import chat, decontaminate, quality, secrets, sharding, simhash
 
 QUERIES = {
     "op1_secrets": secrets.op1_secrets,
+    "op2_chat": chat.op2_chat,
+    "op4_simhash": simhash.op4_simhash,
     "op6_quality": quality.op6_quality,
+    "op7_sharding": sharding.op7_sharding,
+    "op10_decontaminate": decontaminate.op10_decontaminate,
 }
 
 ORACLE_SQL = {
