@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -37,12 +38,14 @@ def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None)
     """Write df as a table in the shared scratch folder and read it back.
 
     Later stages then restart from files that any executor can read. The table
-    goes when the application ends.
+    goes when the application ends; the shuffle files that made it are let go at once.
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/covertrail-{name}-{uuid.uuid4().hex[:12]}"
     df.write.option("compression", "zstd").parquet(path, partitionBy=partition_by)
     atexit.register(_drop, spark, path)
+    gc.collect()  # Spark's cleaner removes shuffle files once the driver forgets them
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
