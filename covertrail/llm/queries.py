@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, quality, secrets, sharding, simhash
+from . import chat, decontaminate, licenses, mixing, quality, secrets, sharding, simhash, substrings, tokens
 
 QUERIES = {
     "op1_secrets": secrets.op1_secrets,
     "op2_chat": chat.op2_chat,
+    "op3_tokens": tokens.op3_tokens,
     "op4_simhash": simhash.op4_simhash,
+    "op5_licenses": licenses.op5_licenses,
     "op6_quality": quality.op6_quality,
     "op7_sharding": sharding.op7_sharding,
+    "op8_mixing": mixing.op8_mixing,
+    "op9_substrings": substrings.op9_substrings,
     "op10_decontaminate": decontaminate.op10_decontaminate,
 }
 

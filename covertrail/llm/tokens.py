@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 import struct
+import uuid
 import zlib
 from collections.abc import Iterator
 from pathlib import Path
@@ -277,9 +278,8 @@ def tokenizer_definition(path: str) -> str:
     return Path(path).read_text(encoding="utf-8")
 
 
-def _token_rows(docs: DataFrame, name: str) -> DataFrame:
-    import uuid
-
+def token_rows(docs: DataFrame, name: str) -> DataFrame:
+    """Write token files of docs to the scratch folder and read them back."""
     import public_tokenizers
 
     spark = docs.sparkSession
@@ -289,4 +289,4 @@ def _token_rows(docs: DataFrame, name: str) -> DataFrame:
 
 
 def op3_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _token_rows(table(spark, sf_dir, "documents"), "tokens")
+    return token_rows(table(spark, sf_dir, "documents"), "tokens")
