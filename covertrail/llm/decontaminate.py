@@ -18,6 +18,7 @@ All steps are SQL.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,8 +28,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 RADIUS = 19
 BLOCKS = 4
-#: Benchmark shingles broadcast at once (8 bytes each); more are worked in blocks.
-HASHES_AT_ONCE = 1_000_000
+#: Benchmark shingles in one bitmap (16 to 32 bytes each); more are worked in blocks.
+HASHES_AT_ONCE = 100_000
 
 
 def _words(text: Column) -> Column:
@@ -36,6 +37,11 @@ def _words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
+def _let(value: Column, then) -> Column:
+    """then(value), with value computed once."""
+    return F.transform(F.array(value), then)[0]
+
+
 def _shingles(words: Column, size: Column) -> Column:
     """All runs of so many words, as strings."""
     starts = F.sequence(F.lit(1), F.size(words) - size + 1)
@@ -81,24 +87,58 @@ def prepare_items(items: DataFrame, id: str = "item_id", text: str = "text") ->
     return cut.withColumn("fp", _simhash(F.col("shingles")))
 
 
-def _hits(docs: DataFrame, size: int, sizes: DataFrame) -> DataFrame:
-    """key, at, n: where a shingle of so many words of an item with n words starts in a document."""
-    words = F.col("words")
-    runs = F.arrays_zip(
-        F.sequence(F.lit(0), F.size(words)).alias("at"),
-        *(F.slice(words, k + 1, F.greatest(F.size(words), F.lit(1))).alias(f"w{k}") for k in range(size)),
-    )
-    runs = docs.select("key", F.size(words).alias("len"), F.inline(runs)).where(f"w{size - 1} is not null and w0 is not null")
-    runs = runs.select("key", "len", "at", F.xxhash64(*(F.col(f"w{k}") for k in range(size))).alias("hash"))
-    known = sizes.where(F.col("size") == size)
+def _bitmap(hashes: DataFrame, bits: int) -> Column:
+    """A constant array of longs in which two bits of every hash are set; bits is a power of two.
+
+    It has bits / 64 entries at most, whatever the benchmark's size.
+    """
+    places = hashes.select(F.explode(F.array(*_places(F.col("hash"), bits))).alias("at"))
+    words = places.groupBy(F.expr("at div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("set"))
+    filled = np.zeros(bits // 64, np.int64)
+    for row in words.collect():
+        filled[row["word"]] = row["set"]
+    return F.lit(filled)
+
+
+def _places(h: Column, bits: int) -> tuple[Column, Column]:
+    return F.pmod(h, F.lit(bits)), F.pmod(F.shiftright(h, 32), F.lit(bits))
+
+
+def _in_bitmap(h: Column, bitmap: Column, bits: int) -> Column:
+    tests = [_shift(F.get(bitmap, F.floor(at / 64).cast("int")), at.cast("int") % 64).bitwiseAND(F.lit(1).cast("long")) == 1 for at in _places(h, bits)]
+    return tests[0] & tests[1]
+
+
+def _hits(docs: DataFrame, size: int, known: DataFrame, most: int) -> DataFrame:
+    """id, start, n, words of the windows that start at a known shingle of so many words.
+
+    known: hash, n of the items' shingles. A document's shingles are tested in the row
+    against a bitmap of known; only those that pass leave it, with the words around
+    them, and are then joined exactly.
+    """
+    hash_at = lambda w, i: F.xxhash64(*(F.get(w, i + k) for k in range(size)))
     total = known.select("hash").distinct().count()
     parts = -(-total // HASHES_AT_ONCE)
     found = None
-    for i in range(parts):
-        some = known.select("hash").distinct().where(F.pmod("hash", F.lit(parts)) == i)
-        part = runs.join(F.broadcast(some), "hash", "left_semi")
-        found = part if found is None else found.unionByName(part)
-    return found.join(known.select("hash", "n"), "hash").select("key", "len", "at", "n")
+    for part in range(parts):
+        some = known.where(F.pmod("hash", F.lit(parts)) == part)
+        bits = 1 << max(12, (128 * min(total, HASHES_AT_ONCE)).bit_length())
+        bitmap = _bitmap(some.select("hash").distinct(), bits)
+
+        def places(w: Column) -> Column:
+            test = lambda i: _let(hash_at(w, i), lambda h: _in_bitmap(h, bitmap, bits))  # noqa: B023, E731
+            at = F.when(F.size(w) >= size, F.filter(F.sequence(F.lit(0), F.size(w) - size), test))
+            low = lambda i: F.greatest(F.lit(0), i - most)
+            around = lambda i: F.slice(w, low(i) + 1, i - low(i) + most)
+            return F.transform(at, lambda i: F.struct(i.alias("at"), F.size(w).alias("len"), hash_at(w, i).alias("hash"), low(i).alias("low"), around(i).alias("around")))
+
+        # words stand in a let: a predicate pushed down would split the text for every shingle
+        rows = docs.select("id", F.inline_outer(_let(_words(F.col("t")), places)))
+        hits = rows.join(some, "hash")
+        start = F.greatest(F.lit(0), F.least(F.col("at"), F.col("len") - F.col("n")))
+        hits = hits.select("id", start.alias("start"), "n", F.slice("around", start - F.col("low") + 1, F.col("n")).alias("words"))
+        found = hits if found is None else found.unionByName(hits)
+    return found
 
 
 def _similarity(a: Column, b: Column) -> Column:
@@ -115,27 +155,24 @@ def find_leaks(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str
     in runs of letters and digits. Null and empty texts leak nothing; a document shorter
     than an item is one window; repeated rows with one id are reported once.
     """
-    keyed = docs.select(F.col(id).alias("id"), text_of(text).alias("t")).withColumn("key", F.xxhash64("id", "t"))
-    keyed = keyed.select("key", "id", _words(F.col("t")).alias("words"))
+    texts = docs.select(F.col(id).alias("id"), text_of(text).alias("t"))
     items = materialise(prepare_items(items, item_id), "items")
-    grams = items.select("n", "size", F.explode("shingles").alias("s"))
-    # the hash of the words one by one, as documents have it
-    sizes = grams.select("n", "size", "s").distinct().withColumn("w", F.split("s", " "))
-    hits = None
-    for (size,) in items.select("size").distinct().collect():
-        by_word = sizes.where(F.col("size") == size).withColumn("hash", F.xxhash64(*(F.col("w")[k] for k in range(size))))
-        part = _hits(keyed, size, by_word.select("hash", "n", "size").distinct())
-        hits = part if hits is None else hits.unionByName(part)
-    if hits is None:
-        hits = keyed.limit(0).select("key", F.lit(0).alias("len"), F.lit(0).alias("at"), F.lit(0).alias("n"))
-    start = F.greatest(F.lit(0), F.least(F.col("at"), F.col("len") - F.col("n")))
-    windows = materialise(hits.select("key", start.alias("start"), "n").distinct(), "windows")
-
-    cut = windows.join(keyed, "key").select("id", "start", "n", F.slice("words", F.col("start") + 1, F.col("n")).alias("words"))
-    cut = cut.withColumn("shingles", _shingles(F.col("words"), F.least(F.lit(SHINGLE), F.col("n")))).drop("words")
-    cut = materialise(cut.withColumn("fp", _simhash(F.col("shingles"))), "cut")
+    most = items.agg(F.max("n")).first()[0]
+    if most is None:
+        nothing = docs.limit(0).select(F.col(id), F.lit(0.0).alias("similarity"), F.lit(0).alias("start_word"), F.lit(0).alias("n_words"))
+        return nothing.join(items.select(F.col("item").alias(item_id)), F.lit(False)).select(id, item_id, "similarity", "start_word", "n_words")
+    found = None
+    for (size,) in items.select("size").distinct().collect():  # 1 to 5
+        words = F.split("s", " ")
+        known = items.where(F.col("size") == size).select("n", F.explode("shingles").alias("s"))
+        known = known.select(F.xxhash64(*(words[k] for k in range(size))).alias("hash"), "n").distinct()
+        part = _hits(texts, size, known, most)
+        found = part if found is None else found.unionByName(part)
+    shingles = _shingles(F.col("words"), F.least(F.lit(SHINGLE), F.col("n")))
+    cut = materialise(found.withColumn("fp", _simhash(shingles)), "windows")
     pairs = _near(cut, items)
     best = F.struct(F.col("similarity"), (-F.col("start")).alias("before"), "n")
+    pairs = pairs.withColumn("shingles", _shingles(F.col("words"), F.least(F.lit(SHINGLE), F.col("n"))))
     found = pairs.withColumn("similarity", _similarity(F.col("shingles"), F.col("of"))).where(F.col("similarity") >= SIMILARITY)
     found = found.groupBy("id", "item").agg(F.max(best).alias("best"))
     return found.select(
@@ -148,20 +185,20 @@ def find_leaks(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str
 
 
 def _near(windows: DataFrame, items: DataFrame) -> DataFrame:
-    """id, start, n, shingles of windows, item and its shingles (of): the pairs within RADIUS bits.
+    """id, start, n, words of windows, item and its shingles (of): the pairs within RADIUS bits.
 
     A pair is found in every block that is close enough; it is kept in the first.
     """
     masks = F.filter(F.sequence(F.lit(0), F.lit(0xFFFF)), lambda m: F.bit_count(m) <= RADIUS // BLOCKS)
     block = lambda: F.inline(F.array(*(F.struct(F.lit(i).alias("block"), _block(F.col("fp"), i).alias("value")) for i in range(BLOCKS))))
-    probes = items.select("item", "n", "fp", F.col("shingles").alias("of"), block())
+    probes = items.select("item", "n", "fp", block())
     probes = probes.select("item", "n", F.col("fp").alias("item_fp"), "block", F.explode(masks).alias("mask"), "value")
     probes = probes.select("item", "n", "item_fp", "block", F.col("value").bitwiseXOR(F.col("mask")).alias("value"))
-    met = windows.select("id", "start", "n", "fp", "shingles", block()).join(probes, ["n", "block", "value"])
+    met = windows.select("id", "start", "n", "fp", "words", block()).join(probes, ["n", "block", "value"])
     apart = lambda i: F.bit_count(_block(F.col("fp"), i).bitwiseXOR(_block(F.col("item_fp"), i)))
     first = F.coalesce(*(F.when(apart(i) <= RADIUS // BLOCKS, i) for i in range(BLOCKS)))
     met = met.where((F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS) & (F.col("block") == first))
-    return met.join(items.select("item", F.col("shingles").alias("of")), "item").select("id", "start", "n", "shingles", "item", "of")
+    return met.join(items.select("item", F.col("shingles").alias("of")), "item").select("id", "start", "n", "words", "item", "of")
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
