@@ -8,6 +8,7 @@ the marks around it. A template that changes earlier output is thereby found out
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 from collections.abc import Callable, Iterator
@@ -26,6 +27,7 @@ _TEXTS = {v: k for k, v in _CODES.items()}
 _ESCAPES = str.maketrans(_CODES)
 
 
+@functools.lru_cache(maxsize=4096)
 def escape(text: str) -> str:
     """text without the characters that begin the template's marks; unescape() undoes it."""
     return text.translate(_ESCAPES)
@@ -74,7 +76,8 @@ def locate(template: Callable[[Turns], str], turns: Turns) -> tuple[str, list[tu
             kept = _common(out, now)
             places = [(s, e) if e <= kept else (0, 0) for s, e in places]
         a, b = (template([*turns[:k], (role, probe)]) for probe in "ab")
-        start = _common(a, b)
+        skip = len(out) if a.startswith(out) and b.startswith(out) else 0
+        start = skip + _common(a[skip:], b[skip:])
         places.append((start, len(now) - (len(a) - start - 1)))
         out = now
     return out, places, rewrites
