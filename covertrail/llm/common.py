@@ -42,13 +42,19 @@ def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None)
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/covertrail-{name}-{uuid.uuid4().hex[:12]}"
+    _let_go(spark)
     df.write.option("compression", "zstd").parquet(path, partitionBy=partition_by)
     atexit.register(_drop, spark, path)
-    gc.collect()  # Spark's cleaner removes shuffle files once the driver forgets them
-    spark.sparkContext._jvm.System.gc()
+    _let_go(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _let_go(spark: SparkSession) -> None:
+    """Spark's cleaner removes shuffle files once the driver forgets them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def _drop(spark: SparkSession, path: str) -> None:
     jsc = spark.sparkContext._jsc
     if jsc is None:  # the session has ended

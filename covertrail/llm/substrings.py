@@ -149,8 +149,9 @@ def duplicate_spans(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     marks = materialise(marks, "marks")
 
     found = keyed.join(marks, "key").select("t", "id", "key", "marks").mapInArrow(_each(_window_rows), "h long, g int, id long, key long, at int")
+    found = materialise(found, "windows")
     least = found.groupBy("h", "g").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("h", "g", "low")
-    least = materialise(least, "windows")
+    least = materialise(least, "least")
     repeats = found.join(least, ["h", "g"]).where("low < id")
     repeats = materialise(repeats.groupBy("key").agg(F.collect_set(F.struct("at", "low")).alias("repeats")), "repeats")
 
