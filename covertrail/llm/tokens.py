@@ -34,8 +34,9 @@ _HEAD = struct.Struct("<8sIQ")
 BLOCK_IDS = 1 << 18
 BLOCK_DOCS = 1 << 12
 #: Words whose ids a worker remembers.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 
+_MARKS = ".,;:!?"
 _LENGTHS = np.array([[(byte >> 2 * i & 3) + 1 for i in range(4)] for byte in range(256)], np.uint8)
 _AT = np.arange(4, dtype=np.uint8)
 
@@ -76,41 +77,54 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.begins = np.zeros(max(vocabulary.values()) + 1, bool)  # ids whose token begins with a space
         self.begins[[i for token, i in vocabulary.items() if token[0] == "Ġ"]] = True
+        self.line_end = np.zeros_like(self.begins)
+        self.line_end[[i for token, i in vocabulary.items() if token[0] == "Ċ"]] = True
+        self.marks = {m: self._plain(m) for m in _MARKS}
         self.known: dict[str, bytes] = {}
         self.whole = re.compile(r"\s\s|[^\S \n]")
 
     def _plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _learn(self, words: list[str]) -> None:
-        """words follow a space, or a line end that they begin with."""
-        spaced = [w for w in words if w[:1] != "\n" and w]
-        for w in words:
-            if w[:1] == "\n":
-                self.known[w] = self._plain("\n") + (self._plain(w[1:]) if len(w) > 1 else b"")
-            elif not w:
-                self.known[w] = self._plain(" ")
-        if spaced:
-            ids = np.array(self.tokenizer.encode(" " + " ".join(spaced), add_special_tokens=False).ids, "<u4")
-            cuts = [*np.flatnonzero(self.begins[ids]).tolist(), len(ids)]
-            if len(cuts) == len(spaced) + 1:
-                raw = ids.tobytes()
-                self.known.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(spaced, cuts, cuts[1:]))
-            else:
-                self.known.update((w, self._plain(" " + w)) for w in spaced)
-
-    def ids(self, text: str) -> bytes:
-        """The ids, little endian, 4 bytes each."""
-        if not text or self.whole.search(text):
-            return self._plain(text)
-        first, *rest = text.replace("\n", " \n").split(" ")
+    def _learn(self, words: set[str]) -> None:
+        """words follow a space, or a line end that they begin with.
+
+        A last comma or the like is a piece of its own after a letter, so the word
+        before it is learnt instead.
+        """
+        ends = {w for w in words if w[-1:] in _MARKS and w[-2:-1].isalpha() and w[-2:-1] < "\u0250"}
+        rest = (words - ends) | {w[:-1] for w in ends if w[:-1] not in self.known}
+        lines = [w for w in rest if w[:1] == "\n"]
+        self._split("", [w for w in lines if len(w) > 1], self.line_end)
+        self._split(" ", [w for w in rest if w and w[:1] != "\n"], self.begins)
+        if "" in rest:
+            self.known[""] = self._plain(" ")
+        if "\n" in rest:
+            self.known["\n"] = self._plain("\n")
+        for w in ends:
+            self.known[w] = self.known[w[:-1]] + self.marks[w[-1]]
+
+    def _split(self, before: str, words: list[str], first: np.ndarray) -> None:
+        """Encode words as one text and cut it where a word's first id stands."""
+        if not words:
+            return
+        ids = np.array(self.tokenizer.encode("".join(before + w for w in words), add_special_tokens=False).ids, "<u4")
+        cuts = [*np.flatnonzero(first[ids]).tolist(), len(ids)]
+        if len(cuts) == len(words) + 1:
+            raw = ids.tobytes()
+            self.known.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(words, cuts, cuts[1:]))
+        else:
+            self.known.update((w, self._plain(before + w)) for w in words)
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, little endian, 4 bytes each."""
+        cut = [None if not t or self.whole.search(t) else t.replace("\n", " \n").split(" ") for t in texts]
         known = self.known
-        if new := list({w for w in rest if w not in known}):
-            if len(known) > CACHE_WORDS:
-                known.clear()
-                new = list(set(rest))
+        if len(known) > CACHE_WORDS:
+            known.clear()
+        if new := {w for words in cut if words for w in words[1:] if w not in known}:
             self._learn(new)
-        return (self._plain(first) if first else b"") + b"".join([known[w] for w in rest])
+        return [self._plain(t) if words is None else (self._plain(words[0]) if words[0] else b"") + b"".join([known[w] for w in words[1:]]) for t, words in zip(texts, cut)]
 
 
 _encoders: dict[int, Encoder] = {}
@@ -129,6 +143,14 @@ _RAW = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("docs", pa.list_
 _CODED = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("n_ids", pa.int64()), ("payload", pa.binary())])
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], encoder: Encoder) -> Iterator[tuple[int | None, bytes]]:
+    """id and ids of each row, a hundred texts at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 100):
+            some = batch.slice(at, 100)
+            yield from zip(some.column("id").to_pylist(), encoder.ids(some.column("t").to_pylist()))
+
+
 def tokenise(docs: DataFrame, definition: str, end_id: int, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Blocks of raw ids, in ascending id order; part numbers follow the order too."""
     shared = docs.sparkSession.sparkContext.broadcast(definition)
@@ -146,15 +168,14 @@ def tokenise(docs: DataFrame, definition: str, end_id: int, id: str = "doc_id",
             row = [[part], [block], [of], [[len(x) // 4 for x in ids]], [size // 4], [raw]]
             return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, _RAW)], schema=_RAW)
 
-        for batch in batches:
-            for doc, said in zip(batch.column("id").to_pylist(), batch.column("t")):
-                got = encoder.ids(said.as_py()) + end
-                if ids and (size + len(got) > 4 * BLOCK_IDS or len(ids) == BLOCK_DOCS):
-                    yield out()
-                    ids, of, size, block = [], [], 0, block + 1
-                ids.append(got)
-                of.append(doc)
-                size += len(got)
+        for doc, said in _encoded(batches, encoder):
+            got = said + end
+            if ids and (size + len(got) > 4 * BLOCK_IDS or len(ids) == BLOCK_DOCS):
+                yield out()
+                ids, of, size, block = [], [], 0, block + 1
+            ids.append(got)
+            of.append(doc)
+            size += len(got)
         if ids:
             yield out()
 
