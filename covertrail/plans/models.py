@@ -9,11 +9,12 @@ from .maps import query as _query
 from .views import Views
 
 Q: dict = {}
+SQL: dict[str, str] = {}
 SIZE, CLASSES = 64, range(10)
 
 
 def query(name: str):
-    return _query(name, into=(Q, {}))
+    return _query(name, into=(Q, SQL))
 
 
 def samples(v: Views):
