@@ -8,13 +8,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions import masks
 
-BY_YEAR = Window.partitionBy("pixel_id").orderBy("year")
-BY_PIXEL = Window.partitionBy("pixel_id")
+
+def by_pixel() -> WindowSpec:
+    return Window.partitionBy("pixel_id")
+
+
+def by_year() -> WindowSpec:
+    return by_pixel().orderBy("year")
 
 
 def densify(df: DataFrame, pixels: DataFrame, first: int, last: int) -> DataFrame:
@@ -25,7 +30,7 @@ def densify(df: DataFrame, pixels: DataFrame, first: int, last: int) -> DataFram
 
 def _at(name: str, years: int) -> Column:
     """The value so many years later (earlier if negative)."""
-    return (F.lead(name, years) if years > 0 else F.lag(name, -years)).over(BY_YEAR)
+    return (F.lead(name, years) if years > 0 else F.lag(name, -years)).over(by_year())
 
 
 def _fill(name: str, window: int, cls: int, last: int) -> Column:
@@ -52,7 +57,7 @@ def temporal_fill(df: DataFrame, window: int, classes: Sequence[int], name: str
     never changes; NULL matches nothing. Classes go one after another, each on what the
     one before left. For one class, left-to-right filling equals looking at the input.
     """
-    last = df.select("*", F.max("year").over(BY_PIXEL).alias("_last"))
+    last = df.select("*", F.max("year").over(by_pixel()).alias("_last"))
     for cls in classes:
         last = last.withColumn(name, _fill(name, window, cls, F.col("_last")))
     return last.drop("_last")
@@ -72,10 +77,10 @@ def frequency_filter(df: DataFrame, native: int = 90, savanna: int = 80, forest:
     12 together exceed native percent and the last year is not 4: all years 4 if 4
     exceeds savanna percent; all years 3 if 3 exceeds forest percent, which wins.
     """
-    years = F.count("*").over(BY_PIXEL)
-    percent = lambda *classes: 100 * F.count_if(F.col(name).isin(*classes)).over(BY_PIXEL) / years
-    whole = F.count(name).over(BY_PIXEL) == years
-    is_native = whole & (percent(3, 4, 12) > native) & (F.max_by(name, "year").over(BY_PIXEL) != 4)
+    years = F.count("*").over(by_pixel())
+    percent = lambda *classes: 100 * F.count_if(F.col(name).isin(*classes)).over(by_pixel()) / years
+    whole = F.count(name).over(by_pixel()) == years
+    is_native = whole & (percent(3, 4, 12) > native) & (F.max_by(name, "year").over(by_pixel()) != 4)
     rules = [(is_native & (percent(4) > savanna), 4), (is_native & (percent(3) > forest), 3)]
     return df.withColumn(name, masks.where_set(F.col(name), rules))
 
@@ -88,8 +93,8 @@ def gap_fill(df: DataFrame, reference: DataFrame, codes: dict[int, int]) -> Data
     ref = reference.select("pixel_id", "year", F.col("class").alias("_ref"))
     own = masks.remap_strict(F.col("class"), codes)
     filled = df.join(ref, ["pixel_id", "year"], "left").withColumn("class", F.coalesce(own, "_ref", F.lit(0))).drop("_ref")
-    is_last = F.lead("year").over(BY_YEAR).isNull()
-    before = F.lag("class").over(BY_YEAR)
+    is_last = F.lead("year").over(by_year()).isNull()
+    before = F.lag("class").over(by_year())
     return filled.withColumn("class", F.when(is_last & (F.col("class") == 0), F.coalesce(before, F.lit(0))).otherwise(F.col("class")))
 
 
@@ -101,14 +106,14 @@ def canopy_override(df: DataFrame, height: str, above: float = 6, name: str = "c
 
 def trailing_any(df: DataFrame, flag: Column, out: str, years: int = 5) -> DataFrame:
     """1 where flag held in this year or the years - 1 before."""
-    span = BY_YEAR.rangeBetween(-(years - 1), 0)
+    span = by_year().rangeBetween(-(years - 1), 0)
     return df.withColumn(out, F.max(F.coalesce(flag.cast("int"), F.lit(0))).over(span))
 
 
 def series_changes(df: DataFrame, name: str = "class") -> DataFrame:
     """Per pixel: n_changes between consecutive observed maps, n_states, mode (lowest of ties), first and last."""
     seen = df.where(F.col(name).isNotNull())
-    changed = (F.col(name) != F.lag(name).over(BY_YEAR)).cast("int")
+    changed = (F.col(name) != F.lag(name).over(by_year())).cast("int")
     rows = seen.select("pixel_id", "year", F.col(name).alias("c"), changed.alias("changed"))
     return rows.groupBy("pixel_id").agg(
         F.coalesce(F.sum("changed"), F.lit(0)).alias("n_changes"),
@@ -134,7 +139,7 @@ def stability(changes: DataFrame) -> DataFrame:
 
 def new_use(df: DataFrame, cls: int = 21, name: str = "class") -> DataFrame:
     """1 where the class comes in the next year and is not there yet."""
-    comes = (F.lead(name).over(BY_YEAR) == cls) & (F.col(name) != cls)
+    comes = (F.lead(name).over(by_year()) == cls) & (F.col(name) != cls)
     return df.withColumn("new_use", F.coalesce(comes, F.lit(False)).cast("int"))
 
 
