@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,6 +50,15 @@ def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, *written: DataFrame) -> None:
+    """Delete tables of materialise() that no later plan reads, and shuffle files no longer used."""
+    for df in written:
+        for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+            _drop(spark, folder)
+    time.sleep(1)  # the last query's listeners hold on to it for a moment
+    _let_go(spark)
+
+
 def _let_go(spark: SparkSession) -> None:
     """Spark's cleaner removes shuffle files once the driver forgets them."""
     gc.collect()

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, table, text_of
+from .common import discard, materialise, table, text_of
 
 WINDOW = 13
 BLOCK = 5
@@ -152,9 +152,12 @@ def duplicate_spans(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     found = materialise(found, "windows")
     least = found.groupBy("h", "g").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("h", "g", "low")
     least = materialise(least, "least")
+    discard(docs.sparkSession)
     repeats = found.join(least, ["h", "g"]).where("low < id")
     repeats = materialise(repeats.groupBy("key").agg(F.collect_set(F.struct("at", "low")).alias("repeats")), "repeats")
 
+    discard(docs.sparkSession, shared, marks, found, least)
+
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("earlier", pa.int64())]))
         for batch in batches:
