@@ -376,10 +376,13 @@ _MODE = """ modes AS (SELECT x, y, class AS focal FROM (
 
 
 def _component_sql(most: int) -> str:
-    return f""" reach AS (
-  SELECT x AS ox, y AS oy, x, y, class FROM grid WHERE class IS NOT NULL
+    return f""" edges AS (
+  SELECT g.x, g.y, n.x AS nx, n.y AS ny FROM grid g, (VALUES (-1), (0), (1)) i(i), (VALUES (-1), (0), (1)) j(j), grid n
+  WHERE n.x = g.x + i AND n.y = g.y + j AND n.class = g.class
+), reach AS (
+  SELECT x AS ox, y AS oy, x, y FROM grid WHERE class IS NOT NULL
   UNION
-  SELECT r.ox, r.oy, g.x, g.y, g.class FROM reach r JOIN grid g ON abs(g.x - r.x) <= 1 AND abs(g.y - r.y) <= 1 AND g.class = r.class
+  SELECT r.ox, r.oy, e.nx, e.ny FROM reach r JOIN edges e ON e.x = r.x AND e.y = r.y
 ), conns AS (SELECT ox AS x, oy AS y, least(count(*), {most})::INT AS conn FROM reach GROUP BY ALL)"""
 
 
