@@ -13,7 +13,6 @@ id (int64), whether the id is not null (uint8), count (uint32); control bytes; d
 
 from __future__ import annotations
 
-import re
 import struct
 import uuid
 import zlib
@@ -81,7 +80,6 @@ class Encoder:
         self.line_end[[i for token, i in vocabulary.items() if token[0] == "Ċ"]] = True
         self.marks = {m: self._plain(m) for m in _MARKS}
         self.known: dict[str, bytes] = {}
-        self.whole = re.compile(r"\s\s|[^\S \n]")
 
     def _plain(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -118,13 +116,15 @@ class Encoder:
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, little endian, 4 bytes each."""
-        cut = [None if not t or self.whole.search(t) else t.replace("\n", " \n").split(" ") for t in texts]
+        cut = [t.replace("\n", " \n").split(" ") if t.split() == t.replace("\n", " ").split(" ") else None for t in texts]
         known = self.known
         if len(known) > CACHE_WORDS:
             known.clear()
-        if new := {w for words in cut if words for w in words[1:] if w not in known}:
+        firsts = [words.pop(0) if words else None for words in cut]
+        if new := set().union(*filter(None, cut)) - known.keys():
             self._learn(new)
-        return [self._plain(t) if words is None else (self._plain(words[0]) if words[0] else b"") + b"".join([known[w] for w in words[1:]]) for t, words in zip(texts, cut)]
+        get = known.__getitem__
+        return [self._plain(t) if words is None else self._plain(first) + b"".join(map(get, words)) for t, first, words in zip(texts, firsts, cut)]
 
 
 _encoders: dict[int, Encoder] = {}
