@@ -123,7 +123,11 @@ def passes(policy: str) -> Column:
 
 def apply_policy(docs: DataFrame, policy: str = "v1", text: str = "text") -> DataFrame:
     """The documents that pass the policy, with the columns of docs."""
-    return ledger(docs, text).where(passes(policy)).select(*docs.columns)
+    # the explode keeps the filter above the ledger: pushed down into it, it would
+    # split the text again for every element that a rule looks at
+    bits = F.explode(F.array("failed_bits")).alias("_bits")
+    kept = F.col("_bits").bitwiseAND(policy_mask(policy)) == 0
+    return ledger(docs, text).select(*docs.columns, bits).where(kept).select(*docs.columns)
 
 
 def ablate(scored: DataFrame, policy: str = "v1") -> DataFrame:
