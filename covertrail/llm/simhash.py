@@ -9,6 +9,9 @@ the number of fingerprints, so that a prefix holds a bounded number of them.
 
 Within a variant all fingerprints are linked to one, never pair by pair: that keeps
 which fingerprints are connected, in linear space, for groups of any size.
+
+That is op4. dedup(), the pipeline's stage, links documents by exact Jaccard similarity,
+which bands of minimum hashes find: 4 bits are far fewer than similar texts differ in.
 """
 
 from __future__ import annotations
@@ -30,6 +33,11 @@ RADIUS = 4
 PER_PREFIX = 256
 #: Variants that a task holds at once; a prefix with more is worked in passes.
 AT_ONCE = 1 << 22
+#: dedup(): words of a shingle, percent of similarity that makes copies, bands of so many minima each.
+WORDS, SIMILARITY = 5, 80
+BANDS, ROWS = 24, 4
+#: Documents (some 30 bytes each) that are broadcast to find their texts; more are joined by shuffle.
+BROADCAST_TEXTS = 500_000
 
 
 def fingerprint(text: str, shingle: int = 4) -> int:
@@ -207,16 +215,108 @@ def groups(docs: DataFrame, id: str = "doc_id") -> DataFrame:
     return docs.join(known.select("fp", "root").join(least, "root").drop("root"), "fp")
 
 
+def shingle_hashes(text: str) -> np.ndarray:
+    """Sorted distinct hashes of the text's shingles of WORDS words, lower-cased.
+
+    Fewer words are one shingle; no words: none.
+    """
+    words = text.lower().encode("utf-8", "surrogatepass").split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    parts = (words[i:] for i in range(WORDS)) if len(words) >= WORDS else ([w] for w in words)
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, map(b" ".join, zip(*parts))), np.uint64))
+
+
+def _sketches(text: Column) -> Column:
+    """whole (a hash of all shingles), n (their number) and keys (a hash of each band of minima) of a column."""
+    rng = np.random.default_rng(0)
+    salt = rng.integers(0, 2**64, BANDS * ROWS, np.uint64)[:, None]
+    times = rng.integers(0, 2**64, BANDS * ROWS, np.uint64)[:, None] | np.uint64(1)
+
+    def keys(hashes: np.ndarray) -> list[int]:
+        if not len(hashes):
+            return []
+        least = np.full(BANDS * ROWS, 2**64 - 1, np.uint64)
+        for at in range(0, len(hashes), 2048):  # long texts need no large matrix
+            least = np.minimum(least, ((hashes[None, at : at + 2048] ^ salt) * times).min(axis=1))
+        raw = least.reshape(BANDS, ROWS)
+        return [xxhash.xxh64_intdigest(raw[i].tobytes(), i) - (1 << 63) for i in range(BANDS)]
+
+    @F.pandas_udf("whole binary, n int, keys array<long>")
+    def run(texts: pd.Series) -> pd.DataFrame:
+        sets = [shingle_hashes(t) for t in texts]
+        return pd.DataFrame({"whole": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], "n": [len(s) for s in sets], "keys": [keys(s) for s in sets]})
+
+    return run(text)
+
+
+def _alike(a: Column, b: Column) -> Column:
+    """Whether two texts' sets of shingles have a Jaccard similarity of SIMILARITY or more."""
+
+    @F.pandas_udf("boolean")
+    def run(left: pd.Series, right: pd.Series) -> pd.Series:
+        def one(x: str, y: str) -> bool:
+            x, y = shingle_hashes(x), shingle_hashes(y)
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            return 100 * both >= SIMILARITY * (len(x) + len(y) - both)
+
+        return pd.Series([one(x, y) for x, y in zip(left, right)], dtype=bool)
+
+    return run(a, b)
+
+
+def _verified(pairs: DataFrame, prints: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """The pairs (a, b) of prints whose texts are alike."""
+    ends = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "whole")
+    needed = materialise(ends.join(prints, "whole").select("whole", F.col("best._hash").alias("_hash")), "needed")
+    if needed.count() <= BROADCAST_TEXTS:  # else all texts would be shuffled to find these
+        needed = F.broadcast(needed)
+    texts = docs.select(F.xxhash64(text_of(text)).alias("_hash"), text_of(text).alias("t")).join(needed, "_hash").dropDuplicates(["whole"])
+    texts = materialise(texts.select("whole", "t"), "texts")
+    both = pairs.join(texts.withColumnsRenamed({"whole": "a", "t": "x"}), "a").join(texts.withColumnsRenamed({"whole": "b", "t": "y"}), "b")
+    return materialise(both.where(_alike(F.col("x"), F.col("y"))).select("a", "b"), "alike")
+
+
+def copies(prints: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """node and root of components() over all pairs of prints (whole, n, keys, best) that are alike.
+
+    Prints with an equal band are compared: at SIMILARITY itself 3 pairs in a million
+    have none. In a band all are first compared with one; then only those that this has
+    left in different components are paired, so groups of true copies stay linear.
+    """
+    fits = lambda n, m: 100 * F.least(n, m) >= SIMILARITY * F.greatest(n, m)
+    keys = prints.select("whole", "n", F.explode("keys").alias("key"))
+    shared = keys.groupBy("key").agg(F.min("whole").alias("first"), F.max("whole").alias("last"), F.min_by("n", "whole").alias("m")).where("first != last").drop("last")
+    members = materialise(keys.join(materialise(shared, "shared"), "key"), "members")
+    tried = materialise(members.where((F.col("whole") != F.col("first")) & fits(F.col("n"), F.col("m"))).select(F.col("first").alias("a"), F.col("whole").alias("b")).distinct(), "pairs")
+    alike = _verified(tried, prints, docs, text)
+
+    roots = components(alike).withColumnRenamed("node", "whole")
+    rooted = materialise(members.join(roots, "whole", "left").select("key", "whole", "n", F.coalesce("root", "whole").alias("root")), "rooted")
+    sizes = rooted.groupBy("key", "root").agg(F.count("*").alias("size"))
+    mixed = sizes.groupBy("key").agg(F.max(F.struct("size", "root"))["root"].alias("top"), F.count("*").alias("roots")).where("roots > 1").drop("roots")
+    rooted = materialise(rooted.join(mixed, "key"), "mixed")
+    rest = rooted.where("root != top").select("key", F.col("whole").alias("a"), F.col("n").alias("m"), F.col("root").alias("other"))
+    met = rest.join(rooted, "key").where((F.col("root") != F.col("other")) & ((F.col("root") == F.col("top")) | (F.col("a") < F.col("whole"))) & fits(F.col("n"), F.col("m")))
+    pairs = met.select(F.least("a", "whole").alias("a"), F.greatest("a", "whole").alias("b")).distinct()
+    pairs = materialise(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+    return components(alike.unionByName(_verified(pairs, prints, docs, text)))
+
+
 def dedup(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with one document of each near-duplicate group: that of the least id, not null if any.
 
-    Of rows with that id the one whose text has the least hash stays, once.
+    Documents are linked from a Jaccard similarity of SIMILARITY percent of their sets of
+    five-word shingles, and so are all connected by links. op4's contract (four words, 4
+    differing bits) does not reach that and binds only op4. Of rows with that id the one
+    whose text has the least hash stays, once.
     """
     hashed = F.xxhash64(text_of(text))
-    marked = materialise(docs.select(id, hashed.alias("_hash"), fingerprints(F.col(text)).alias("fp")), "fingerprints")
-    prints = materialise(marked.groupBy("fp").agg(F.min(F.struct(F.col(id).isNull().alias("none"), F.col(id).alias("id"), "_hash")).alias("best")), "prints")
-    joined = components(links(prints.select("fp")))
-    known = prints.join(joined.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    marked = materialise(docs.select(id, hashed.alias("_hash"), _sketches(text_of(text)).alias("s")).select(id, "_hash", "s.*"), "sketches")
+    first = F.min(F.struct(F.col(id).isNull().alias("none"), F.col(id).alias("id"), "_hash")).alias("best")
+    prints = materialise(marked.groupBy("whole").agg(first, F.first("n").alias("n"), F.first("keys").alias("keys")), "prints")
+    joined = copies(prints, docs, text)
+    known = prints.join(joined.withColumnRenamed("node", "whole"), "whole", "left").withColumn("root", F.coalesce("root", "whole"))
     best = known.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.id").alias("_id"), F.col("best._hash").alias("_hash"))
     tagged = docs.withColumn("_hash", hashed)
     kept = tagged.join(best, tagged[id].eqNullSafe(best["_id"]) & (tagged["_hash"] == best["_hash"]), "left_semi")
