@@ -94,8 +94,8 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
 
     Positions are code points, end exclusive. Strong kinds: assign (value of 6 or more
     characters), access, hex. Weak kinds are added where they complete a credential:
-    value and pass beside an access id or user name; ident beside a secret; endpoint
-    beside both. Spans of different kinds may overlap. A null or empty text has an
+    value and pass beside an access id, user name or endpoint; ident and endpoint beside
+    a secret. Spans of different kinds may overlap. A null or empty text has an
     empty array; repeated rows each get their own; the text itself is not kept.
     """
     t = text_of(text)
@@ -103,7 +103,7 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     tagged = docs.select(F.struct(*keep).alias("of"), F.monotonically_increasing_id().alias("row"), t.alias("t"))
     tagged = tagged.select("of", "row", "t", F.struct(*(c.alias(k) for k, c in _parts(F.col("t")).items())).alias("found"))
     has = lambda role: F.coalesce(*(F.col(f"found.{k}") for k in KINDS if ROLES[k] == role)).isNotNull()
-    linkable = has("ident") & has("secret")
+    linkable = has("secret") & (has("ident") | has("endpoint"))
     breaks = F.when(linkable, _pieces(F.col("t"), BREAK, lambda hit, value: F.lit(True)))
     tagged = materialise(tagged.select("of", "row", "found", breaks.alias("breaks"), linkable.alias("linkable")), "secrets")
 
@@ -132,13 +132,12 @@ def _link(tagged: DataFrame, parts: DataFrame) -> DataFrame:
     scope = F.count_if(F.col("rank") < 0).over(Window.partitionBy("row").orderBy("start", "rank").rowsBetween(Window.unboundedPreceding, 0))
     placed = events.withColumn("scope", scope).where("rank >= 0")
     weak = placed.where(~F.col("rank").isin(*(KINDS.index(k) for k in STRONG)))
-    idents, secrets = placed.where(_kinds_of("ident")), placed.where(_kinds_of("secret"))
+    others, secrets = placed.where(_kinds_of("ident", "endpoint")), placed.where(_kinds_of("secret"))
     by_role = (
-        _near(weak.where(_kinds_of("secret")), idents),
-        _near(weak.where(_kinds_of("ident")), secrets),
-        _near(_near(weak.where(_kinds_of("endpoint")), secrets), idents),
+        _near(weak.where(_kinds_of("secret")), others),
+        _near(weak.where(_kinds_of("ident", "endpoint")), secrets),
     )
-    return by_role[0].unionByName(by_role[1]).unionByName(by_role[2]).drop("scope")
+    return by_role[0].unionByName(by_role[1]).drop("scope")
 
 
 def _listing(spans: Column) -> Column:

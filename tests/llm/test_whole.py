@@ -3,7 +3,7 @@
 import pytest
 
 pytest.importorskip("covertrail.llm")
-from covertrail.llm import simhash  # noqa: E402
+from covertrail.llm import secrets, simhash  # noqa: E402
 
 
 def shingles(text):
@@ -40,3 +40,9 @@ def test_dedup_compares_all_of_a_band(spark):
                 if 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j]):
                     root[i] = root[j] = min(root[i], root[j])
     assert sorted(r.doc_id for r in simhash.dedup(docs).collect()) == sorted(set(root))
+
+
+def test_secrets_link_a_secret_to_an_endpoint(spark):
+    rows = [(1, "pwd=hunter22 redis://cache.local"), (2, "redis://cache.local"), (3, "pwd=hunter22\n\nredis://cache.local"), (4, "login: bob redis://cache.local")]
+    found = {r.id: {s.kind for s in r.spans} for r in secrets.scan(spark.createDataFrame(rows, "id int, text string")).collect()}
+    assert found == {1: {"pass", "endpoint"}, 2: set(), 3: set(), 4: set()}
