@@ -175,27 +175,27 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP6_SQL = r"""
-WITH split AS (
-  SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t,
-         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS words,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+WITH cut AS (
+  SELECT row_number() OVER () AS nr, doc_id, coalesce(text, '') AS t,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS said
   FROM documents
 ), windows AS (
-  SELECT row, at, words[at] AS a, words[at + 1] AS b, words[at + 2] AS c
-  FROM (SELECT row, words, unnest(range(1, len(words) - 1)) AS at FROM split)
+  SELECT nr, pos, words[pos] AS a, words[pos + 1] AS b, words[pos + 2] AS c
+  FROM (SELECT nr, words, unnest(range(1, len(words) - 1)) AS pos FROM cut)
 ), repeated AS (
-  SELECT row, at FROM (SELECT row, at, count(*) OVER (PARTITION BY row, a, b, c) AS n FROM windows) WHERE n > 1
+  SELECT nr, pos FROM (SELECT nr, pos, count(*) OVER (PARTITION BY nr, a, b, c) AS n FROM windows) WHERE n > 1
 ), covered AS (
-  SELECT row, count(DISTINCT at + k) AS n FROM repeated, range(0, 3) AS r(k) GROUP BY row
+  SELECT nr, count(DISTINCT pos + k) AS n FROM repeated, range(0, 3) AS r(k) GROUP BY nr
 ), measured AS (
   SELECT doc_id, len(words)::BIGINT AS n_words,
          length(array_to_string(words, ''))::BIGINT AS word_chars,
          length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
-         len(lines)::BIGINT AS n_lines,
-         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         len(said)::BIGINT AS n_lines,
+         (len(said) - len(list_distinct(said)))::BIGINT AS n_dup_lines,
          length(regexp_replace(t, '[^\p{Lu}]+', '', 'g'))::BIGINT AS n_upper,
          coalesce(n, 0)::BIGINT AS n_repeat_words
-  FROM split LEFT JOIN covered USING (row)
+  FROM cut LEFT JOIN covered USING (nr)
 ), judged AS (
   SELECT *, ((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT
              + 4 * (2 * n_symbols > n_words)::INT + 8 * (2 * n_dup_lines > n_lines)::INT
