@@ -12,9 +12,11 @@ _local: list[str] = []
 
 
 def folder(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; a temporary folder only where that is unset."""
+    """The cluster's spark.checkpoint.dir. Only a local session may leave it unset and gets a temporary folder."""
     if configured := spark.conf.get("spark.checkpoint.dir", None):
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not _local:
         _local.append(tempfile.mkdtemp(prefix="covertrail-"))
     return _local[0]
@@ -23,7 +25,7 @@ def folder(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the scratch folder that is removed when the application ends."""
     path = f"{folder(spark)}/covertrail-{name}-{uuid.uuid4().hex[:12]}"
-    atexit.register(_drop, spark, path)
+    atexit.register(drop, spark, path)
     return path
 
 
@@ -34,7 +36,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _drop(spark: SparkSession, path: str) -> None:
+def drop(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever it is."""
     jsc = spark.sparkContext._jsc
     if jsc is None:  # the session has ended
         return
