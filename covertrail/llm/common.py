@@ -2,37 +2,25 @@
 
 from __future__ import annotations
 
-import atexit
 import gc
-import tempfile
 import time
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import scratch
+
 #: Word separators: space, and tab to carriage return.
 SPACES = r"[\x20\x09-\x0D]+"
 
-_local_scratch: list[str] = []
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's Parquet tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """Folder for tables that cut lineage: the cluster's spark.checkpoint.dir.
-
-    Only where that is unset, as in local tests, is a temporary folder made.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not _local_scratch:
-        _local_scratch.append(tempfile.mkdtemp(prefix="covertrail-"))
-    return _local_scratch[0]
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that all executors share; what is there goes when the application ends."""
+    return scratch.new_path(spark, name)
 
 
 def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
@@ -42,10 +30,9 @@ def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None)
     goes when the application ends; the shuffle files that made it are let go at once.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/covertrail-{name}-{uuid.uuid4().hex[:12]}"
+    path = scratch_path(spark, name)
     _let_go(spark)
     df.write.option("compression", "zstd").parquet(path, partitionBy=partition_by)
-    atexit.register(_drop, spark, path)
     _let_go(spark)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -54,7 +41,7 @@ def discard(spark: SparkSession, *written: DataFrame) -> None:
     """Delete tables of materialise() that no later plan reads, and shuffle files no longer used."""
     for df in written:
         for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
-            _drop(spark, folder)
+            scratch.drop(spark, folder)
     time.sleep(1)  # the last query's listeners hold on to it for a moment
     _let_go(spark)
 
@@ -65,14 +52,6 @@ def _let_go(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def _drop(spark: SparkSession, path: str) -> None:
-    jsc = spark.sparkContext._jsc
-    if jsc is None:  # the session has ended
-        return
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(jsc.hadoopConfiguration()).delete(target, True)
-
-
 def text_of(column: str = "text") -> Column:
     """The text, with null as the empty string."""
     return F.coalesce(F.col(column), F.lit(""))

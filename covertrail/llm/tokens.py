@@ -13,8 +13,10 @@ id (int64), whether the id is not null (uint8), count (uint32); control bytes; d
 
 from __future__ import annotations
 
+import json
+import os
+import re
 import struct
-import uuid
 import zlib
 from collections.abc import Iterator
 from pathlib import Path
@@ -25,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, scratch_dir, table, text_of
+from .common import discard, materialise, scratch_path, table, text_of
 
 MAGIC = b"CTVB0001"
 _HEAD = struct.Struct("<8sIQ")
@@ -35,7 +37,24 @@ BLOCK_DOCS = 1 << 12
 #: Words whose ids a worker remembers.
 CACHE_WORDS = 1_000_000
 
-_MARKS = ".,;:!?"
+#: Bytes of the pieces that are remembered; of texts cut at once; slots of the table, as a power of two.
+WORD_BYTES = 64
+AT_ONCE = 1 << 19
+SLOT_BITS = 21
+
+_MARKS = [b".", b",", b";", b":", b"!", b"?"]
+#: A space or line end, letters up to U+024F, and perhaps one mark.
+_PLAIN = re.compile(rb"[ \n](?:[A-Za-z]|\xC3[\x80-\x96\x98-\xB6\xB8-\xBF]|[\xC4-\xC8][\x80-\xBF]|\xC9[\x80-\x8F])+[.,;:!?]?")
+
+
+def _alphabet() -> dict[int, str]:
+    """The characters by which byte-level vocabularies write bytes; 0 becomes a space."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(shown)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)} | {0: " "}
+
+
+_ALPHABET = _alphabet()
 _LENGTHS = np.array([[(byte >> 2 * i & 3) + 1 for i in range(4)] for byte in range(256)], np.uint8)
 _AT = np.arange(4, dtype=np.uint8)
 
@@ -60,71 +79,169 @@ def unpack(coded: bytes, n: int) -> np.ndarray:
     return out.view("<u4").ravel()
 
 
+class _Known:
+    """Ids of the words met so far: an open-addressed table in numpy, asked for many words at once.
+
+    A word's key is a 63-bit hash; its check holds its length and seven of its bytes.
+    """
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys, self.checks, self.values = (np.zeros(1 << SLOT_BITS, t) for t in (np.uint64, np.uint64, np.int64))
+        self.words, self.size = 0, 0
+        self.ids = np.zeros(1 << 16, np.uint32)
+
+    def store(self, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Keep ids and give each word's value: where its ids begin, and 32 bits for how many."""
+        if self.size + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.size], np.zeros(2 * (self.size + len(ids)), np.uint32)])
+        self.ids[self.size : self.size + len(ids)] = ids
+        begin = self.size + np.cumsum(counts) - counts
+        self.size += len(ids)
+        return begin << 32 | counts
+
+    def add(self, keys: np.ndarray, checks: np.ndarray, values: np.ndarray) -> None:
+        """Keep distinct keys; one that is there already is replaced."""
+        self.words += len(keys)
+        at, mask = (keys >> np.uint64(64 - SLOT_BITS)).astype(np.int64), (1 << SLOT_BITS) - 1
+        todo = np.arange(len(keys))
+        while len(todo):
+            free = todo[self.keys[at[todo]] == 0]
+            self.keys[at[free]] = keys[free]
+            todo = todo[self.keys[at[todo]] != keys[todo]]
+            at[todo] = at[todo] + 1 & mask
+        self.checks[at], self.values[at] = checks, values
+
+    def find(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """The words' values, -1 for unknown ones."""
+        at, mask = (keys >> np.uint64(64 - SLOT_BITS)).astype(np.int64), (1 << SLOT_BITS) - 1
+        held = self.keys[at]
+        wrong = np.flatnonzero((held != keys) & (held != 0))
+        while len(wrong):
+            at[wrong] = at[wrong] + 1 & mask
+            held[wrong] = self.keys[at[wrong]]
+            wrong = wrong[(held[wrong] != keys[wrong]) & (held[wrong] != 0)]
+        return np.where((held == keys) & (self.checks[at] == checks), self.values[at], -1)
+
+
 class Encoder:
     """Ids of texts by a byte-level tokenizer, with the words it met remembered.
 
-    Such a tokenizer cuts at every single space or line end before anything else, so a
-    text whose white space is only that is encoded word by word, each distinct word
-    once. Any other text goes to the tokenizer whole. The ids are the same.
+    Such a tokenizer never joins what stands before a space or line end to what follows,
+    unless that too is a space or line end. Texts are cut there, and each distinct piece
+    is encoded once: by the whole tokenizer, or, if it is plain letters, by its merges
+    alone, since it is one piece to it. The ids are the same.
     """
 
     def __init__(self, definition: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
+        told = json.loads(definition)
+        cutter = told["pre_tokenizer"] or {}
+        if cutter.get("type") != "ByteLevel" or cutter["add_prefix_space"] or not cutter["use_regex"] or told["normalizer"] or told["post_processor"]:
+            raise ValueError("not a plain byte-level tokenizer")
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are text
+        self.merges = Tokenizer.from_str(json.dumps(told | {"pre_tokenizer": {"type": "CharDelimiterSplit", "delimiter": " "}, "added_tokens": []}))
         vocabulary = self.tokenizer.get_vocab()
-        self.begins = np.zeros(max(vocabulary.values()) + 1, bool)  # ids whose token begins with a space
-        self.begins[[i for token, i in vocabulary.items() if token[0] == "Ġ"]] = True
-        self.line_end = np.zeros_like(self.begins)
-        self.line_end[[i for token, i in vocabulary.items() if token[0] == "Ċ"]] = True
-        self.marks = {m: self._plain(m) for m in _MARKS}
-        self.known: dict[str, bytes] = {}
+        self.begins = np.zeros(max(vocabulary.values()) + 1, bool)  # ids whose token begins with a space or line end
+        self.begins[[i for token, i in vocabulary.items() if token[0] in "ĠĊ"]] = True
+        self.known = _Known()
+        self.random = np.random.default_rng(1).integers(0, 1 << 64, 256 * WORD_BYTES, np.uint64)
 
-    def _plain(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def encode(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after another, and each text's number of ids.
 
-    def _learn(self, words: set[str]) -> None:
-        """words follow a space, or a line end that they begin with.
-
-        A last comma or the like is a piece of its own after a letter, so the word
-        before it is learnt instead.
+        data: the texts' UTF-8, joined; ends: where each text ends in it.
+        """
+        begins = np.r_[0, ends[:-1]].astype(np.int64)
+        breaks = (data == 32) | (data == 10)
+        cut = breaks.copy()
+        cut[1:] &= ~breaks[:-1]
+        cut[begins[ends > begins]] = True
+        starts = np.flatnonzero(cut)
+        stops = np.r_[starts[1:], len(data)] if len(starts) else starts
+        ids, counts = [np.zeros(0, np.uint32)], [np.zeros(1, np.int64)]
+        at = 0
+        while at < len(starts):
+            to = max(at + 1, int(np.searchsorted(stops, starts[at] + AT_ONCE, "right")))
+            if self.known.words > CACHE_WORDS or self.known.size > 8 * CACHE_WORDS:
+                self.known.clear()
+            base = starts[at]
+            made = self._values if to - at > 1 else self._learn  # a piece alone may be huge
+            value = made(data[base : stops[to - 1]], starts[at:to] - base, stops[at:to] - base)
+            n = value & 0xFFFFFFFF
+            total = int(n.sum())
+            where = np.repeat((value >> 32) - (np.cumsum(n) - n), n) + np.arange(total)
+            ids.append(self.known.ids[where])
+            counts.append(n)
+            at = to
+        before = np.cumsum(np.concatenate(counts))
+        return np.concatenate(ids), before[np.searchsorted(starts, ends)] - before[np.searchsorted(starts, begins)]
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        ids, counts = self.encode(*_texts(pa.array(texts, pa.string())))
+        return np.split(ids, np.cumsum(counts)[:-1])
+
+    def _values(self, data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        """Each piece's value in the table of known words; new ones are learnt."""
+        lengths = stops - starts
+        place = np.arange(len(data)) - np.repeat(starts, lengths)
+        keys = np.add.reduceat(self.random[data + 256 * (place & WORD_BYTES - 1)], starts) | np.uint64(1)
+        checks = lengths.astype(np.uint64)
+        for k in (1, 2, 3, 4):
+            checks = checks << np.uint64(8) | data[np.minimum(starts + k, stops - 1)]
+        for k in (1, 2, 3):
+            checks = checks << np.uint64(8) | data[np.maximum(stops - k, starts)]
+        short = lengths <= WORD_BYTES
+        value = np.where(short, self.known.find(keys, checks), -1)
+        new = np.flatnonzero((value < 0) & short)
+        if len(new):
+            distinct, first = np.unique(keys[new], return_index=True)
+            first = new[first]
+            learnt = self._learn(data, starts[first], stops[first])
+            self.known.add(distinct, checks[first], learnt)
+            of = np.searchsorted(distinct, keys[new])
+            value[new] = np.where(checks[new] == checks[first[of]], learnt[of], -1)
+        rest = np.flatnonzero(value < 0)  # long pieces, and two words with one key
+        if len(rest):
+            value[rest] = self._learn(data, starts[rest], stops[rest])
+        return value
+
+    def _learn(self, data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        """Encode pieces, keep their ids and give their values."""
+        raw = data.tobytes()
+        words = [raw[a:b] for a, b in zip(starts.tolist(), stops.tolist())]
+        plain = np.array([_PLAIN.fullmatch(w) is not None for w in words])
+        value = np.zeros(len(words), np.int64)
+        easy = np.flatnonzero(plain).tolist()
+        if easy:
+            ids, counts = self._merged([words[i] for i in easy])
+            value[easy] = self.known.store(ids, counts)
+        hard = np.flatnonzero(~plain).tolist()
+        if hard:
+            got = [e.ids for e in self.tokenizer.encode_batch_fast([words[i].decode() for i in hard], add_special_tokens=False)]
+            value[hard] = self.known.store(np.array([x for ids in got for x in ids], np.uint32), np.array([len(ids) for ids in got], np.int64))
+        return value
+
+    def _merged(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces that match _PLAIN, joined, and their numbers.
+
+        A line end before letters and a mark after them are pieces of their own to the
+        tokenizer. Each piece is known again by its first id.
         """
-        ends = {w for w in words if w[-1:] in _MARKS and w[-2:-1].isalpha() and w[-2:-1] < "\u0250"}
-        rest = (words - ends) | {w[:-1] for w in ends if w[:-1] not in self.known}
-        lines = [w for w in rest if w[:1] == "\n"]
-        self._split("", [w for w in lines if len(w) > 1], self.line_end)
-        self._split(" ", [w for w in rest if w and w[:1] != "\n"], self.begins)
-        if "" in rest:
-            self.known[""] = self._plain(" ")
-        if "\n" in rest:
-            self.known["\n"] = self._plain("\n")
-        for w in ends:
-            self.known[w] = self.known[w[:-1]] + self.marks[w[-1]]
-
-    def _split(self, before: str, words: list[str], first: np.ndarray) -> None:
-        """Encode words as one text and cut it where a word's first id stands."""
-        if not words:
-            return
-        ids = np.array(self.tokenizer.encode("".join(before + w for w in words), add_special_tokens=False).ids, "<u4")
-        cuts = [*np.flatnonzero(first[ids]).tolist(), len(ids)]
-        if len(cuts) == len(words) + 1:
-            raw = ids.tobytes()
-            self.known.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(words, cuts, cuts[1:]))
-        else:
-            self.known.update((w, self._plain(before + w)) for w in words)
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, little endian, 4 bytes each."""
-        cut = [t.replace("\n", " \n").split(" ") if t.split() == t.replace("\n", " ").split(" ") else None for t in texts]
-        known = self.known
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        firsts = [words.pop(0) if words else None for words in cut]
-        if new := set().union(*filter(None, cut)) - known.keys():
-            self._learn(new)
-        get = known.__getitem__
-        return [self._plain(t) if words is None else self._plain(first) + b"".join(map(get, words)) for t, first, words in zip(texts, firsts, cut)]
+        parts = []
+        for at in range(0, len(words), 2000):
+            joined = b"\0".join(words[at : at + 2000]).replace(b"\n", b"\n\0")
+            for mark in _MARKS:
+                joined = joined.replace(mark, b"\0" + mark)
+            parts.append(joined.decode("latin-1").translate(_ALPHABET))
+        ids = np.array([x for e in self.merges.encode_batch_fast(parts, add_special_tokens=False) for x in e.ids], np.uint32)
+        cuts = np.flatnonzero(self.begins[ids])
+        return ids, np.diff(np.r_[cuts, len(ids)])
 
 
 _encoders: dict[int, Encoder] = {}
@@ -143,12 +260,13 @@ _RAW = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("docs", pa.list_
 _CODED = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("n_ids", pa.int64()), ("payload", pa.binary())])
 
 
-def _encoded(batches: Iterator[pa.RecordBatch], encoder: Encoder) -> Iterator[tuple[int | None, bytes]]:
-    """id and ids of each row, a hundred texts at a time."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, 100):
-            some = batch.slice(at, 100)
-            yield from zip(some.column("id").to_pylist(), encoder.ids(some.column("t").to_pylist()))
+def _texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """A string column's UTF-8, joined, and where each text ends."""
+    column = column.cast(pa.large_string())
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    whole = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return whole[at[0] : at[-1]], at[1:] - at[0]
 
 
 def tokenise(docs: DataFrame, definition: str, end_id: int, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -157,25 +275,29 @@ def tokenise(docs: DataFrame, definition: str, end_id: int, id: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, block = _encoder(shared.value), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], "<u4").tobytes()
         kind = "<u2" if len(encoder.begins) <= 1 << 16 else "<u4"
-        ids: list[bytes] = []
+        ids: list[np.ndarray] = []
         of: list[int | None] = []
         size = 0
 
         def out() -> pa.RecordBatch:
-            raw = np.frombuffer(b"".join(ids), "<u4").astype(kind).tobytes()
-            row = [[part], [block], [of], [[len(x) // 4 for x in ids]], [size // 4], [raw]]
+            raw = np.concatenate(ids).astype(kind).tobytes()
+            row = [[part], [block], [of], [[len(x) for x in ids]], [size], [raw]]
             return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(row, _RAW)], schema=_RAW)
 
-        for doc, said in _encoded(batches, encoder):
-            got = said + end
-            if ids and (size + len(got) > 4 * BLOCK_IDS or len(ids) == BLOCK_DOCS):
-                yield out()
-                ids, of, size, block = [], [], 0, block + 1
-            ids.append(got)
-            of.append(doc)
-            size += len(got)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                some = batch.slice(at, 256)
+                data, ends = _texts(some.column("t"))
+                joined, counts = encoder.encode(data, ends)
+                to = np.cumsum(counts)
+                for doc, a, b in zip(some.column("id").to_pylist(), (to - counts).tolist(), to.tolist()):
+                    if ids and (size + b - a + 1 > BLOCK_IDS or len(ids) == BLOCK_DOCS):
+                        yield out()
+                        ids, of, size, block = [], [], 0, block + 1
+                    ids.append(np.append(joined[a:b], np.uint32(end_id)))
+                    of.append(doc)
+                    size += b - a + 1
         if ids:
             yield out()
 
@@ -257,6 +379,7 @@ def write_tokens(docs: DataFrame, path: str, definition: str, end_id: int = 0, i
     ranked = rank_ids(raw)
     encode(raw, ranked).write.option("compression", "zstd").parquet(f"{path}/blocks")
     spark = docs.sparkSession
+    discard(spark, raw)
     rows = [(ranked.tobytes(),)]
     spark.createDataFrame(rows, "ids binary").write.parquet(f"{path}/ranks")
 
@@ -300,11 +423,11 @@ def tokenizer_definition(path: str) -> str:
 
 
 def token_rows(docs: DataFrame, name: str) -> DataFrame:
-    """Write token files of docs to the scratch folder and read them back."""
+    """Write token files of docs to the scratch folder, where they stay until the application ends, and read them back."""
     import public_tokenizers
 
     spark = docs.sparkSession
-    path = f"{scratch_dir(spark)}/covertrail-{name}-{uuid.uuid4().hex[:12]}"
+    path = scratch_path(spark, name)
     write_tokens(docs, path, tokenizer_definition(public_tokenizers.path("byte_bpe_50k.json")))
     return read_tokens(spark, path)
 

@@ -1,9 +1,11 @@
 """Operators do the whole job: cases that a narrower version passes over."""
 
+import random
+
 import pytest
 
 pytest.importorskip("covertrail.llm")
-from covertrail.llm import secrets, simhash  # noqa: E402
+from covertrail.llm import secrets, simhash, tokens  # noqa: E402
 
 
 def shingles(text):
@@ -46,3 +48,16 @@ def test_secrets_link_a_secret_to_an_endpoint(spark):
     rows = [(1, "pwd=hunter22 redis://cache.local"), (2, "redis://cache.local"), (3, "pwd=hunter22\n\nredis://cache.local"), (4, "login: bob redis://cache.local")]
     found = {r.id: {s.kind for s in r.spans} for r in secrets.scan(spark.createDataFrame(rows, "id int, text string")).collect()}
     assert found == {1: {"pass", "endpoint"}, 2: set(), 3: set(), 4: set()}
+
+
+def test_ids_are_those_of_the_library(monkeypatch):
+    tokenizers, paths = pytest.importorskip("tokenizers"), pytest.importorskip("public_tokenizers")
+    monkeypatch.setattr(tokens, "AT_ONCE", 300)
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 60)
+    definition = tokens.tokenizer_definition(paths.path("byte_bpe_50k.json"))
+    encoder, plain, rng = tokens.Encoder(definition), tokenizers.Tokenizer.from_str(definition), random.Random(5)
+    bits = [" ", "  ", "\n", " \n", "\n\n", "\t", "\r\n", "\u2003", "\xa0", "\x85", "\x1c", "a", "B", "the", "don't", "'s", "\u00e9", "\u00d7", "\u00df", "\u024f", "\u0250"]
+    bits += ["\u65e5\u672c", "\U0001f600", "12", "...", ",", "!", "<|endoftext|>", "\x00", "-", "_", "\u0130", "x" * 70, "e\u0301", "y" * 2000]
+    for _ in range(60):
+        texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 25))) for _ in range(40)]
+        assert [x.tolist() for x in encoder.ids(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
