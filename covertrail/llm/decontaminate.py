@@ -48,6 +48,11 @@ def _let(value: Column, then) -> Column:
     return F.transform(F.array(value), then)[0]
 
 
+def _once(value: Column) -> Column:
+    """The fields of a struct as columns, computed once: Spark repeats other expressions where they are used."""
+    return F.inline(F.array(value))
+
+
 def _shingles(words: Column, size: Column) -> Column:
     """All runs of so many words, as strings."""
     starts = F.sequence(F.lit(1), F.size(words) - size + 1)
@@ -222,8 +227,8 @@ def _windows(docs: DataFrame, starts: DataFrame, planes: int) -> DataFrame:
     rows = materialise(rows, "stretches")
     rows = rows.select("id", "nr", "n", "size", "low", "words", F.explode("starts").alias("start"))
     words = F.slice("words", F.col("start") - F.col("low") + 1, F.col("n"))
-    rows = rows.select("id", "nr", "n", "start", _shingles(words, F.col("size")).alias("shingles"))
-    return rows.withColumn("fp", _simhash(F.col("shingles"), planes))
+    marked = lambda shingles: F.struct(shingles.alias("shingles"), _simhash(shingles, planes).alias("fp"))
+    return rows.select("id", "nr", "n", "start", _once(_let(_let(words, lambda w: _shingles(w, F.col("size"))), marked)))
 
 
 def _near(windows: DataFrame, items: DataFrame, n_items: int) -> DataFrame:
@@ -269,8 +274,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, id: str = "doc_id", text: str
     hits = materialise(_hits(texts, known, total), "hits")
     pairs = _near(_windows(texts, _starts(hits, known, total), planes), items, n_items)
     similarity = _similarity(F.col("shingles"), F.col("of"), F.col("often"))
-    best = F.struct(similarity.alias("similarity"), (-F.col("start")).alias("before"), "n")
-    found = pairs.groupBy("id", "nr").agg(F.max(best).alias("best")).where(100 * F.col("best.similarity") >= SIMILARITY)
+    rated = pairs.select("id", "nr", _once(F.struct(similarity.alias("similarity"), (-F.col("start")).alias("before"), "n")))
+    found = rated.groupBy("id", "nr").agg(F.max(F.struct("similarity", "before", "n")).alias("best")).where(100 * F.col("best.similarity") >= SIMILARITY)
     found = materialise(found, "leaks")
     discard(spark, hits)
     found = found.join(named.select("nr", "item").distinct(), "nr")
