@@ -5,6 +5,8 @@ from __future__ import annotations
 import gc
 import time
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from .. import scratch
 #: Word separators: space, and tab to carriage return.
 SPACES = r"[\x20\x09-\x0D]+"
 
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's Parquet tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -60,3 +63,12 @@ def text_of(column: str = "text") -> Column:
 def words_of(text: Column) -> Column:
     """Array of the words of a text, in order."""
     return F.array_remove(F.split(text, SPACES), "")
+
+
+def utf8_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """A string column's UTF-8, joined, and where each text ends."""
+    column = column.cast(pa.large_string())
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    whole = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return whole[at[0] : at[-1]], at[1:] - at[0]

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import discard, materialise, scratch_path, table, text_of
+from .common import discard, materialise, scratch_path, table, text_of, utf8_of
 
 MAGIC = b"CTVB0001"
 _HEAD = struct.Struct("<8sIQ")
@@ -183,7 +183,7 @@ class Encoder:
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        ids, counts = self.encode(*_texts(pa.array(texts, pa.string())))
+        ids, counts = self.encode(*utf8_of(pa.array(texts, pa.string())))
         return np.split(ids, np.cumsum(counts)[:-1])
 
     def _values(self, data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
@@ -260,15 +260,6 @@ _RAW = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("docs", pa.list_
 _CODED = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("n_ids", pa.int64()), ("payload", pa.binary())])
 
 
-def _texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """A string column's UTF-8, joined, and where each text ends."""
-    column = column.cast(pa.large_string())
-    _, offsets, data = column.buffers()
-    at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
-    whole = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
-    return whole[at[0] : at[-1]], at[1:] - at[0]
-
-
 def tokenise(docs: DataFrame, definition: str, end_id: int, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Blocks of raw ids, in ascending id order; part numbers follow the order too."""
     shared = docs.sparkSession.sparkContext.broadcast(definition)
@@ -288,7 +279,7 @@ def tokenise(docs: DataFrame, definition: str, end_id: int, id: str = "doc_id",
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 some = batch.slice(at, 256)
-                data, ends = _texts(some.column("t"))
+                data, ends = utf8_of(some.column("t"))
                 joined, counts = encoder.encode(data, ends)
                 to = np.cumsum(counts)
                 for doc, a, b in zip(some.column("id").to_pylist(), (to - counts).tolist(), to.tolist()):
