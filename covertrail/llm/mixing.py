@@ -1,9 +1,11 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
-Documents fall into cells of source, language and topic. Starting from each cell's
-tokens, weights are raked: scaled dimension by dimension until every marginal meets its
-target. A document's sampling probability is its cell's weight over its cell's tokens,
-times one constant that gives the wanted number of tokens, at most 1.
+Documents fall into cells of source, language and topic. A cell's documents share a
+sampling probability. Starting from one probability for all, cells are raked: scaled
+dimension by dimension until the expected tokens of every marginal meet its target. No
+probability may pass 1: cells that would are held there, and the others of their
+marginal make up for them. If some value of a dimension has too few tokens for its
+target, the whole mix is made as much smaller as that takes.
 
 Only cells are raked, never documents; they stay a DataFrame, so their number is not
 bound by the driver. Each round is written to scratch, which keeps plans short.
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from .common import materialise, table, text_of, words_of
 
 DIMENSIONS = ("source", "lang", "topic")
-ROUNDS = 25
+ROUNDS = 40
 TOLERANCE = 1e-4
 #: Cells (some 100 bytes each) that are broadcast to the documents; more are joined by shuffle.
 BROADCAST_CELLS = 100_000
@@ -51,46 +53,52 @@ def _listed(cells: DataFrame, dim: str, shares: dict[str, float]) -> DataFrame:
     return now.withColumn("share", F.try_divide("share", F.lit(now.agg(F.sum("share")).first()[0])))
 
 
-def rake(cells: DataFrame, targets: dict[str, float | dict[str, float]]) -> DataFrame:
-    """cells (dimensions, tokens) with weight, whose marginals meet the targets.
+def _goals(cells: DataFrame, targets: dict[str, float | dict[str, float]]) -> dict[str, DataFrame]:
+    """For each dimension its values' target shares."""
+    return {d: materialise(_smoothed(cells, d, t) if isinstance(t, float) else _listed(cells, d, t), "goals") for d, t in targets.items()}
+
+
+def rake(cells: DataFrame, targets: dict[str, float | dict[str, float]], share: float = 1.0) -> DataFrame:
+    """cells (dimensions, tokens) with probability, at most 1, whose expected tokens meet the targets.
 
     targets: for each dimension a power (share ** power, scaled; 1 keeps the shares, 0
-    makes them equal) or shares by value. Ends when no marginal is off by more than
-    TOLERANCE before its turn, or after ROUNDS rounds. Cells without tokens weigh 0.
+    makes them equal) or shares by value. The expected tokens are share of all, or less
+    if a value has too few for its target. Ends when no marginal is off by more than
+    TOLERANCE before its turn, or after ROUNDS rounds: targets that contradict each other
+    under the bound are then met as far as they were, and marginals() shows by how much.
     """
     total = cells.agg(F.sum("tokens")).first()[0] or 0
-    goals = {d: materialise(_smoothed(cells, d, t) if isinstance(t, float) else _listed(cells, d, t), "goals") for d, t in targets.items()}
-    weighted = cells.withColumn("weight", F.col("tokens").cast("double"))
+    goals = _goals(cells, targets)
+    for dim, goal in goals.items():
+        held = cells.groupBy(dim).agg(F.sum("tokens").alias("held")).join(goal.where("share > 0"), dim)
+        share = min(share, held.agg(F.min(F.col("held") / (F.col("share") * max(total, 1)))).first()[0] or share)
+    rated = cells.withColumn("probability", F.lit(share).cast("double"))
     for _ in range(ROUNDS):
         for dim, goal in goals.items():
-            now = weighted.groupBy(dim).agg(F.sum("weight").alias("now")).join(goal, dim)
-            now = now.select(dim, F.try_divide(F.col("share") * total, "now").alias("scale"))
-            weighted = weighted.join(now, dim)
-            weighted = weighted.withColumns({"weight": F.col("weight") * F.coalesce("scale", F.lit(0.0)), f"off_{dim}": F.abs(F.coalesce("scale", F.lit(1.0)) - 1)}).drop("scale")
-        worst = F.greatest(*(F.col(f"off_{d}") for d in goals)) if len(goals) > 1 else F.col(f"off_{next(iter(goals))}")
-        weighted = materialise(weighted.select(*cells.columns, "weight", F.when(F.col("weight") > 0, worst).otherwise(0.0).alias("off")), "raked")
-        if (weighted.agg(F.max("off")).first()[0] or 0.0) <= TOLERANCE:
+            full = F.col("probability") >= 1
+            now = rated.groupBy(dim).agg(F.sum(F.when(full, F.col("tokens")).otherwise(0)).alias("full"), F.sum(F.when(full, 0.0).otherwise(F.col("probability") * F.col("tokens"))).alias("free"))
+            now = now.join(goal, dim).withColumns({"all": F.col("full") + F.col("free"), "goal": F.col("share") * share * total})
+            scale = F.when(F.col("all") > F.col("goal"), F.try_divide("goal", "all")).otherwise(F.try_divide(F.col("goal") - F.col("full"), "free"))
+            off = F.abs(F.try_divide("all", "goal") - 1)
+            rated = rated.join(now.select(dim, F.coalesce(scale, F.lit(1.0)).alias("scale"), F.coalesce(off, F.lit(0.0)).alias(f"off_{dim}")), dim)
+            rated = rated.withColumn("probability", F.least(F.lit(1.0), F.col("probability") * F.col("scale"))).drop("scale")
+        worst = F.greatest(*(F.col(f"off_{d}") for d in goals), F.lit(0.0))
+        rated = materialise(rated.select(*cells.columns, "probability", worst.alias("off")), "raked")
+        if (rated.agg(F.max("off")).first()[0] or 0.0) <= TOLERANCE:
             break
-    return weighted.drop("off")
-
+    return rated.drop("off")
 
-def calibrate(raked: DataFrame, share: float) -> DataFrame:
-    """raked with probability: the same multiple of weight / tokens in every cell, at most 1.
 
-    The multiple makes the expected tokens share of all; what cells cut at 1 cannot give,
-    the others give, as far as they can.
-    """
-    ratio = F.coalesce(F.try_divide("weight", F.col("tokens").cast("double")), F.lit(0.0))
-    rated = raked.withColumn("ratio", ratio)
-    budget = share * (raked.agg(F.sum("tokens")).first()[0] or 0)
-    scale = share
-    for _ in range(50):
-        cut = F.col("ratio") * scale >= 1
-        full, rest = rated.agg(F.sum(F.when(cut, F.col("tokens")).otherwise(0)), F.sum(F.when(cut, 0.0).otherwise(F.col("weight")))).first()
-        if not rest or (new := (budget - full) / rest) <= scale * (1 + 1e-12):
-            break
-        scale = new
-    return rated.withColumn("probability", F.least(F.lit(1.0), F.col("ratio") * scale)).drop("ratio")
+def marginals(rated: DataFrame, targets: dict[str, float | dict[str, float]]) -> DataFrame:
+    """dimension, value, held, target, reached (shares of tokens) of rake()'s cells, and short: target less reached."""
+    expected = F.col("probability") * F.col("tokens")
+    all_tokens, all_expected = rated.agg(F.sum("tokens"), F.sum(expected)).first()
+    found = None
+    for dim, goal in _goals(rated, targets).items():
+        now = rated.groupBy(dim).agg((F.sum("tokens") / (all_tokens or 1)).alias("held"), (F.sum(expected) / (all_expected or 1)).alias("reached"))
+        rows = now.join(goal, dim).select(F.lit(dim).alias("dimension"), F.col(dim).cast("string").alias("value"), "held", F.col("share").alias("target"), "reached")
+        found = rows if found is None else found.unionByName(rows)
+    return found.withColumn("short", F.col("target") - F.col("reached"))
 
 
 def mix(
@@ -104,6 +112,7 @@ def mix(
 ) -> DataFrame:
     """docs with mix, a struct of topic, n_tokens, probability and sampled.
 
+    Sampled tokens meet the targets (see rake()) and are share of all, or as many as the targets leave.
     Whether a document is sampled follows from its id, text and the seed alone. Null
     sources and languages are one value, the empty string; null and empty texts have no
     tokens and go with their cell; repeated rows fare alike; a column named mix is replaced.
@@ -115,7 +124,7 @@ def mix(
     cell = F.struct(*(c.alias(d) for d, c in dims.items()))
     counted = docs.select(cell.alias("cell"), tokens_of(t).alias("tokens"))
     cells = materialise(counted.groupBy("cell").agg(F.sum("tokens").alias("tokens")).select("cell.*", "tokens"), "cells")
-    rated = materialise(calibrate(rake(cells, targets), share), "rated")
+    rated = rake(cells, targets, share)
     rated = rated.select(*(F.col(d).alias(f"_{d}") for d in dims), "probability")
     if rated.count() <= BROADCAST_CELLS:
         rated = F.broadcast(rated)

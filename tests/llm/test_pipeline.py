@@ -10,8 +10,6 @@ import pytest
 import xxhash
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
-from covertrail.llm import simhash  # noqa: E402
-
 DATA = "/root/testdata/sf0.001"
 
 
@@ -26,17 +24,23 @@ def good(text):
 
 
 def first_of_groups(docs):
-    prints = {d: simhash.fingerprint(t) for d, t, *_ in docs}
-    root = {d: d for d in prints}
+    """Groups by five-word shingles with a similarity of 0.8 or more, all pairs compared."""
+
+    def shingles(text):
+        words = re.findall(r"[^\x20\x09-\x0D]+", text.lower())
+        return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} or {tuple(words)}
+
+    sets = {d: shingles(t) for d, t, *_ in docs}
+    root = {d: d for d in sets}
 
     def find(d):
         while root[d] != d:
             d = root[d]
         return d
 
-    for a in prints:
-        for b in prints:
-            if a < b and (prints[a] ^ prints[b]).bit_count() <= 4:
+    for a in sets:
+        for b in sets:
+            if a < b and 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b]):
                 x, y = sorted((find(a), find(b)))
                 root[y] = x
     return [r for r in docs if find(r[0]) == r[0]]
@@ -77,25 +81,22 @@ def sampled(docs, share):
         total[c] += n
     keys = list(total)
     held = np.array([total[k] for k in keys], float)
-    weight = held.copy()
     groups = [np.array([sorted({k[d] for k in keys}).index(k[d]) for k in keys]) for d in range(3)]
-    goals = [(lambda s: s / s.sum() * held.sum())(np.bincount(g, held) ** p) for g, p in zip(groups, powers)]
-    for _ in range(25):
+    shares = [(lambda s: s / s.sum())(np.bincount(g, held) ** p) for g, p in zip(groups, powers)]
+    share = min([share, *(float((np.bincount(g, held) / s).min() / held.sum()) for g, s in zip(groups, shares))])
+    rate = np.full(len(keys), share)
+    for _ in range(40):
         off = 0.0
-        for g, goal in zip(groups, goals):
-            scale = goal / np.bincount(g, weight)
-            off = max(off, np.abs(scale - 1).max())
-            weight = weight * scale[g]
+        for g, s in zip(groups, shares):
+            full = np.bincount(g, np.where(rate >= 1, held, 0))
+            free = np.bincount(g, np.where(rate >= 1, 0, rate * held))
+            goal = s * share * held.sum()
+            off = max(off, np.abs((full + free) / goal - 1).max())
+            rest = np.divide(goal - full, free, out=np.ones(len(free)), where=free > 0)
+            rate = np.minimum(1, rate * np.where(full + free > goal, goal / (full + free), rest)[g])
         if off <= 1e-4:
             break
-    ratio, times = weight / held, share
-    for _ in range(50):
-        cut = ratio * times >= 1
-        new = (share * held.sum() - held[cut].sum()) / weight[~cut].sum()
-        if new <= times * (1 + 1e-12):
-            break
-        times = new
-    chance = dict(zip(keys, np.minimum(1, ratio * times)))
+    chance = dict(zip(keys, rate))
 
     def draw(doc, text):
         h = xxhash.xxh64_intdigest((0).to_bytes(4, "little"), 42)

@@ -5,7 +5,7 @@ import random
 import pytest
 
 pytest.importorskip("covertrail.llm")
-from covertrail.llm import secrets, simhash, tokens  # noqa: E402
+from covertrail.llm import mixing, secrets, simhash, tokens  # noqa: E402
 
 
 def shingles(text):
@@ -61,3 +61,22 @@ def test_ids_are_those_of_the_library(monkeypatch):
     for _ in range(60):
         texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 25))) for _ in range(40)]
         assert [x.tolist() for x in encoder.ids(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_mix_meets_targets_of_a_skewed_corpus(spark):
+    """A third of all rows from one source; cells that can give no more are made up for."""
+    rng = random.Random(3)
+    rows = []
+    for i in range(3000):
+        source = "hot" if i % 3 == 0 else f"s{rng.randrange(6)}"
+        lang = rng.choice(("en", "en", "en", "de", "es")) if source != "s1" else rng.choice(("es", "es", "de", "en"))
+        rows.append((source, lang, rng.choice("abc"), rng.randrange(0, 80)))
+    cells = spark.createDataFrame(rows, "source string, lang string, topic string, tokens long").groupBy("source", "lang", "topic").agg({"tokens": "sum"}).withColumnRenamed("sum(tokens)", "tokens")
+    targets = {"source": 0.5, "lang": 0.7, "topic": 0.9}
+    rated = mixing.rake(cells, targets, 0.8)
+    found = rated.collect()
+    assert max(r.probability for r in found) == 1 > min(r.probability for r in found)
+    kept = sum(r.probability * r.tokens for r in found) / sum(r.tokens for r in found)
+    assert 0.6 < kept < 0.8001
+    short = {(r.dimension, r.value): r.short for r in mixing.marginals(rated, targets).collect()}
+    assert max(map(abs, short.values())) < 0.002
