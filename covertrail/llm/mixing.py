@@ -16,10 +16,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import stored
 from .common import materialise, table, text_of, words_of
 
 DIMENSIONS = ("source", "lang", "topic")
-ROUNDS = 40
+ROUNDS = 25
 TOLERANCE = 1e-4
 #: Cells (some 100 bytes each) that are broadcast to the documents; more are joined by shuffle.
 BROADCAST_CELLS = 100_000
@@ -55,7 +56,7 @@ def _listed(cells: DataFrame, dim: str, shares: dict[str, float]) -> DataFrame:
 
 def _goals(cells: DataFrame, targets: dict[str, float | dict[str, float]]) -> dict[str, DataFrame]:
     """For each dimension its values' target shares."""
-    return {d: materialise(_smoothed(cells, d, t) if isinstance(t, float) else _listed(cells, d, t), "goals") for d, t in targets.items()}
+    return {d: stored(_smoothed(cells, d, t) if isinstance(t, float) else _listed(cells, d, t), "goals") for d, t in targets.items()}
 
 
 def rake(cells: DataFrame, targets: dict[str, float | dict[str, float]], share: float = 1.0) -> DataFrame:
@@ -83,7 +84,7 @@ def rake(cells: DataFrame, targets: dict[str, float | dict[str, float]], share:
             rated = rated.join(now.select(dim, F.coalesce(scale, F.lit(1.0)).alias("scale"), F.coalesce(off, F.lit(0.0)).alias(f"off_{dim}")), dim)
             rated = rated.withColumn("probability", F.least(F.lit(1.0), F.col("probability") * F.col("scale"))).drop("scale")
         worst = F.greatest(*(F.col(f"off_{d}") for d in goals), F.lit(0.0))
-        rated = materialise(rated.select(*cells.columns, "probability", worst.alias("off")), "raked")
+        rated = stored(rated.select(*cells.columns, "probability", worst.alias("off")), "raked")
         if (rated.agg(F.max("off")).first()[0] or 0.0) <= TOLERANCE:
             break
     return rated.drop("off")

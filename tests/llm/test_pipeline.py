@@ -85,7 +85,7 @@ def sampled(docs, share):
     shares = [(lambda s: s / s.sum())(np.bincount(g, held) ** p) for g, p in zip(groups, powers)]
     share = min([share, *(float((np.bincount(g, held) / s).min() / held.sum()) for g, s in zip(groups, shares))])
     rate = np.full(len(keys), share)
-    for _ in range(40):
+    for _ in range(25):
         off = 0.0
         for g, s in zip(groups, shares):
             full = np.bincount(g, np.where(rate >= 1, held, 0))
