@@ -143,6 +143,17 @@ def new_use(df: DataFrame, cls: int = 21, name: str = "class") -> DataFrame:
     return df.withColumn("new_use", F.coalesce(comes, F.lit(False)).cast("int"))
 
 
-def folds(df: DataFrame, k: int, cls: str = "class", key: str = "pixel_id") -> DataFrame:
-    """Stratified fold numbers: round robin inside each class, in key order."""
-    return df.withColumn("fold", ((F.row_number().over(Window.partitionBy(cls).orderBy(key)) - 1) % k).cast("int"))
+def folds(df: DataFrame, k: int, *cls: str, key: str = "pixel_id", block: int = 1 << 16) -> DataFrame:
+    """Stratified fold numbers: round robin inside each class, in the order of whole-number keys.
+
+    Rows are numbered inside blocks of keys and the earlier blocks' rows added, so a
+    class of any size is split over tasks.
+    """
+    cls = cls or ("class",)
+    rows = df.withColumn("_block", F.floor(F.col(key) / block))
+    sizes = rows.groupBy(*cls, "_block").agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy(*cls).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(*cls, "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy(*cls, "_block").orderBy(key)) - 1
+    numbered = rows.withColumn("_inside", inside).join(sizes, [*cls, "_block"])
+    return numbered.select(*df.columns, ((F.col("_before") + F.col("_inside")) % k).cast("int").alias("fold"))

@@ -257,11 +257,12 @@ FROM (SELECT *, (class <> lag(class) OVER (PARTITION BY pixel_id ORDER BY year))
 
 @query(
     "c7_three_maps",
-    ", three AS (SELECT pixel_id, 1 AS year, class FROM a WHERE year = 1999 UNION ALL SELECT pixel_id, 2, class FROM b WHERE year = 1999 UNION ALL SELECT pixel_id, 3, class FROM c WHERE year = 1999), "
+    ", three AS (SELECT pixel_id * 10000 + year AS pixel_id, 1 AS year, class FROM a UNION ALL SELECT pixel_id * 10000 + year, 2, class FROM b UNION ALL SELECT pixel_id * 10000 + year, 3, class FROM c), "
     f"changes AS ({_changes_sql('three')}) SELECT *, {_STABILITY} AS stability FROM changes",
 )
 def three_maps(v: Views):
-    rows = v.maps.where("year = 1999").select("pixel_id", F.inline(F.array(*(F.struct(F.lit(i).alias("year"), F.col(f"class_{n}").alias("class")) for i, n in enumerate("abc", 1)))))
+    cell = (F.col("pixel_id") * 10000 + F.col("year")).alias("pixel_id")  # a pixel in each year is a series of three maps
+    rows = v.maps.select(cell, F.inline(F.array(*(F.struct(F.lit(i).alias("year"), F.col(f"class_{n}").alias("class")) for i, n in enumerate("abc", 1)))))
     return temporal.stability(temporal.series_changes(rows))
 
 
@@ -270,9 +271,9 @@ def any_layer(v: Views):
     return v.pairs.select("pixel_id", "year", compare.any_layer((F.col("a") == 33).cast("int"), (F.col("b") == 33).cast("int")).alias("any_layer"))
 
 
-@query("c9_basin_mask", "SELECT pixel_id, (basin IN ('Brand#11', 'Brand#23', 'Brand#45'))::INT AS flagged FROM a WHERE year = 1999")
+@query("c9_basin_mask", "SELECT pixel_id, year, (basin IN ('Brand#11', 'Brand#23', 'Brand#45'))::INT AS flagged FROM a")
 def basin_mask(v: Views):
-    return v.a.where("year = 1999").select("pixel_id", F.col("basin").isin("Brand#11", "Brand#23", "Brand#45").cast("int").alias("flagged"))
+    return v.a.select("pixel_id", "year", F.col("basin").isin("Brand#11", "Brand#23", "Brand#45").cast("int").alias("flagged"))
 
 
 # time series
@@ -357,96 +358,94 @@ def pixel_profile(v: Views):
     return v.a.groupBy("pixel_id").agg(F.concat(F.lit("["), F.array_join(series, ", "), F.lit("]")).alias("profile"))
 
 
-@query("w16_folds", "SELECT pixel_id, class, ((row_number() OVER (PARTITION BY class ORDER BY pixel_id) - 1) % 5)::INT AS fold FROM a WHERE year = 1999 AND class IS NOT NULL")
+@query("w16_folds", "SELECT pixel_id, year, class, ((row_number() OVER (PARTITION BY year, class ORDER BY pixel_id) - 1) % 5)::INT AS fold FROM a WHERE class IS NOT NULL")
 def folds(v: Views):
-    return temporal.folds(v.a.where("year = 1999 and class is not null").select("pixel_id", "class"), 5)
+    return temporal.folds(v.a.where("class is not null").select("pixel_id", "year", "class"), 5, "year", "class")
 
 
-# neighbourhoods, on one year of the map
+# neighbourhoods, inside each year of the map
 
 
-def _year(v: Views):
-    return v.a.where("year = 1999").select("x", "y", "class")
+def _grid(v: Views):
+    return v.a.select("x", "y", "year", "class")
 
 
-_GRID = ", grid AS (SELECT x, y, class FROM a WHERE year = 1999)"
-_MODE = """ modes AS (SELECT x, y, class AS focal FROM (
-  SELECT g.x, g.y, n.class, row_number() OVER (PARTITION BY g.x, g.y ORDER BY count(*) DESC, n.class) AS r
-  FROM grid g JOIN grid n ON abs(g.x - n.x) <= 2 AND abs(g.y - n.y) <= 2 AND n.class IS NOT NULL GROUP BY g.x, g.y, n.class) WHERE r = 1)"""
+_GRID = ", grid AS (SELECT x, y, year, class FROM a)"
+_MODE = """ modes AS (SELECT x, y, year, class AS focal FROM (
+  SELECT g.x, g.y, g.year, n.class, row_number() OVER (PARTITION BY g.x, g.y, g.year ORDER BY count(*) DESC, n.class) AS r
+  FROM grid g JOIN grid n ON g.year = n.year AND n.x BETWEEN g.x - 2 AND g.x + 2 AND n.y BETWEEN g.y - 2 AND g.y + 2 AND n.class IS NOT NULL GROUP BY g.x, g.y, g.year, n.class) WHERE r = 1)"""
 
 
 def _component_sql(most: int) -> str:
     return f""" edges AS (
-  SELECT g.x, g.y, n.x AS nx, n.y AS ny FROM grid g, (VALUES (-1), (0), (1)) i(i), (VALUES (-1), (0), (1)) j(j), grid n
-  WHERE n.x = g.x + i AND n.y = g.y + j AND n.class = g.class
+  SELECT g.year, g.x, g.y, n.x AS nx, n.y AS ny FROM grid g, (VALUES (-1), (0), (1)) i(i), (VALUES (-1), (0), (1)) j(j), grid n
+  WHERE n.x = g.x + i AND n.y = g.y + j AND n.year = g.year AND n.class = g.class
 ), reach AS (
-  SELECT x AS ox, y AS oy, x, y FROM grid WHERE class IS NOT NULL
+  SELECT year, x AS ox, y AS oy, x, y FROM grid WHERE class IS NOT NULL
   UNION
-  SELECT r.ox, r.oy, e.nx, e.ny FROM reach r JOIN edges e ON e.x = r.x AND e.y = r.y
-), conns AS (SELECT ox AS x, oy AS y, least(count(*), {most})::INT AS conn FROM reach GROUP BY ALL)"""
+  SELECT r.year, r.ox, r.oy, e.nx, e.ny FROM reach r JOIN edges e ON e.year = r.year AND e.x = r.x AND e.y = r.y
+), conns AS (SELECT year, ox AS x, oy AS y, least(count(*), {most})::INT AS conn FROM reach GROUP BY ALL)"""
 
 
 _RECURSIVE = VIEWS.replace("WITH cell", "WITH RECURSIVE cell")
 
 
-@query("n1_connected_count", _RECURSIVE + _GRID + "," + _component_sql(10) + " SELECT x, y, class, conn FROM grid LEFT JOIN conns USING (x, y)", views=False)
+@query("n1_connected_count", _RECURSIVE + _GRID + "," + _component_sql(10) + " SELECT x, y, year, class, conn FROM grid LEFT JOIN conns USING (x, y, year)", views=False)
 def connected_count(v: Views):
-    return spatial.connected_count(_year(v), 10).select("x", "y", "class", "conn")
+    return spatial.connected_count(_grid(v), 10, "year").select("x", "y", "year", "class", "conn")
 
 
-@query("n2_focal_mode", _GRID + "," + _MODE + " SELECT x, y, class, focal FROM grid LEFT JOIN modes USING (x, y)")
+@query("n2_focal_mode", _GRID + "," + _MODE + " SELECT x, y, year, class, focal FROM grid LEFT JOIN modes USING (x, y, year)")
 def focal_mode(v: Views):
-    return spatial.focal_mode(_year(v)).select("x", "y", "class", "focal")
+    return spatial.focal_mode(_grid(v), 2, "year").select("x", "y", "year", "class", "focal")
 
 
 @query(
     "n3_spatial_filter",
-    _RECURSIVE + _GRID + "," + _component_sql(13) + "," + _MODE + " SELECT x, y, CASE WHEN conn <= 12 THEN coalesce(focal, class) ELSE class END AS class FROM grid LEFT JOIN conns USING (x, y) LEFT JOIN modes USING (x, y)",
+    _RECURSIVE + _GRID + "," + _component_sql(13) + "," + _MODE + " SELECT x, y, year, CASE WHEN conn <= 12 THEN coalesce(focal, class) ELSE class END AS class FROM grid LEFT JOIN conns USING (x, y, year) LEFT JOIN modes USING (x, y, year)",
     views=False,
 )
 def spatial_filter(v: Views):
-    return spatial.spatial_filter(_year(v)).select("x", "y", "class")
+    return spatial.spatial_filter(_grid(v), 12, 200, "year").select("x", "y", "year", "class")
 
 
 @query(
     "n4_opening",
     _GRID
-    + """, flags AS (SELECT x, y, coalesce((class <= 4)::INT, 0) AS f FROM grid),
-    low AS (SELECT g.x, g.y, min(n.f) AS f FROM flags g JOIN flags n ON abs(g.x - n.x) <= 1 AND abs(g.y - n.y) <= 1 GROUP BY ALL)
-    SELECT g.x, g.y, max(n.f) AS f FROM low g JOIN low n ON abs(g.x - n.x) <= 4 AND abs(g.y - n.y) <= 4 GROUP BY ALL""",
+    + """, flags AS (SELECT x, y, year, coalesce((class <= 4)::INT, 0) AS f FROM grid),
+    low AS (SELECT g.x, g.y, g.year, min(n.f) AS f FROM flags g JOIN flags n ON g.year = n.year AND n.x BETWEEN g.x - 1 AND g.x + 1 AND n.y BETWEEN g.y - 1 AND g.y + 1 GROUP BY ALL)
+    SELECT g.x, g.y, g.year, max(n.f) AS f FROM low g JOIN low n ON g.year = n.year AND n.x BETWEEN g.x - 4 AND g.x + 4 AND n.y BETWEEN g.y - 4 AND g.y + 4 GROUP BY ALL""",
 )
 def opening(v: Views):
-    flags = _year(v).select("x", "y", F.coalesce((F.col("class") <= 4).cast("int"), F.lit(0)).alias("f"))
-    return spatial.opening(flags, "f", 1, 4)
+    flags = _grid(v).select("x", "y", "year", F.coalesce((F.col("class") <= 4).cast("int"), F.lit(0)).alias("f"))
+    return spatial.opening(flags, "f", 1, 4, "year")
 
 
 @query(
     "n5_contrast",
-    ", grid AS (SELECT x, y, p_size AS band FROM a WHERE year = 1999) SELECT g.x, g.y, avg((n.band - g.band) * (n.band - g.band)) AS contrast FROM grid g JOIN grid n ON abs(g.x - n.x) <= 1 AND abs(g.y - n.y) <= 1 AND (g.x, g.y) <> (n.x, n.y) GROUP BY ALL",
+    ", grid AS (SELECT x, y, year, p_size AS band FROM a) SELECT g.x, g.y, g.year, avg((n.band - g.band) * (n.band - g.band)) AS contrast FROM grid g JOIN grid n ON g.year = n.year AND n.x BETWEEN g.x - 1 AND g.x + 1 AND n.y BETWEEN g.y - 1 AND g.y + 1 AND (g.x, g.y) <> (n.x, n.y) GROUP BY ALL",
 )
 def contrast(v: Views):
-    return spatial.contrast(v.a.where("year = 1999").select("x", "y", "p_size"), "p_size")
+    return spatial.contrast(v.a.select("x", "y", "year", "p_size"), "p_size", "year")
 
 
 @query(
     "n6_within_extent",
-    ", extent AS (SELECT territory, min(x) AS x0, min(y) AS y0, max(x) AS x1, max(y) AS y1 FROM a WHERE x < 10 AND y < 10 GROUP BY 1) SELECT p.pixel_id, e.territory AS extent FROM a p JOIN extent e ON x BETWEEN x0 - 2 AND x1 + 2 AND y BETWEEN y0 - 2 AND y1 + 2 WHERE p.year = 1999",
+    ", extent AS (SELECT basin, min(x) AS x0, min(y) AS y0, max(x) AS x1, max(y) AS y1 FROM a GROUP BY 1) SELECT DISTINCT p.pixel_id, e.basin AS extent FROM a p JOIN extent e ON x BETWEEN x0 - 2 AND x1 + 2 AND y BETWEEN y0 - 2 AND y1 + 2",
 )
 def within_extent(v: Views):
-    cells = v.a.where("year = 1999").select("pixel_id", "x", "y")
-    corner = spatial.extent_of(v.pixels.where("x < 10 and y < 10"), "territory")
-    return spatial.within_extent(cells, corner, 2, "territory").select("pixel_id", "extent")
+    return spatial.within_extent(v.pixels.select("pixel_id", "x", "y"), spatial.extent_of(v.pixels, "basin"), 2, "basin").select("pixel_id", "extent")
 
 
 @query(
     "n7_small_patches",
     _RECURSIVE
-    + ", grid AS (SELECT x, y, nullif(coalesce(lead(class) OVER (PARTITION BY pixel_id ORDER BY year) = 21 AND class <> 21, false)::INT, 0) AS class, year FROM a QUALIFY year = 1999),"
+    + ", grid AS (SELECT x, y, nullif(coalesce(lead(class) OVER (PARTITION BY pixel_id ORDER BY year) = 21 AND class <> 21, false)::INT, 0) AS class, year FROM a),"
     + _component_sql(6)
-    + " SELECT x, y, (conn <= 5)::INT AS small FROM conns",
+    + " SELECT x, y, year, (conn <= 5)::INT AS small FROM conns",
     views=False,
 )
 def small_patches(v: Views):
-    changes = temporal.new_use(v.a).where("year = 1999").select("x", "y", masks.self_mask(F.col("new_use")).alias("class"))
-    counted = spatial.connected_count(changes, 6).where("conn is not null")
-    return counted.select("x", "y", (F.col("conn") <= 5).cast("int").alias("small"))
+    changes = temporal.new_use(v.a).select("x", "y", "year", masks.self_mask(F.col("new_use")).alias("class"))
+    counted = spatial.connected_count(changes, 6, "year").where("conn is not null")
+    return counted.select("x", "y", "year", (F.col("conn") <= 5).cast("int").alias("small"))

@@ -20,7 +20,7 @@ def query(name: str):
 def samples(v: Views):
     """id, features, label, fold, vec; three fifths of the folds train."""
     rows = v.table("embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("features"), "label")
-    return ml.vectors(temporal.folds(rows, 5, "label", "id"))
+    return ml.vectors(temporal.folds(rows, 5, "label", key="id"))
 
 
 def _split(v: Views):
@@ -55,8 +55,8 @@ def svm(v: Views):
 def by_fold(v: Views):
     """One model for each group of samples (folds stand for basin-years), applied to the next group."""
     rows, out = samples(v), None
-    for k in range(2):
-        made = _small().fit(rows.where(F.col("fold") == k)).transform(rows.where(F.col("fold") == k + 1))
+    for k in range(5):
+        made = _small().fit(rows.where(F.col("fold") == k)).transform(rows.where(F.col("fold") == (k + 1) % 5))
         made = made.select("id", F.lit(k).alias("model"), F.col("prediction").cast("int").alias("prediction"))
         out = made if out is None else out.unionByName(made)
     return out

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import legend
 from ..operators import accuracy, tables
 from .maps import query as _query
-from .views import Views, micro, micro_sql
+from .views import YEARS, Views, micro, micro_sql
 
 Q: dict = {}
 SQL: dict[str, str] = {}
@@ -104,9 +104,9 @@ def accuracy_delta(v: Views):
     return _deltas(v)
 
 
-@query("a20_delta_wide", _ACC + " SELECT basin, " + ", ".join(f"max({c}) FILTER (year = {y}) AS {n}_{y}" for y in (1995, 1998, 2001) for n, c in (("acc_a", "acc_a"), ("acc_b", "acc_b"), ("delta", "abs(acc_a - acc_b)"))) + " FROM acc GROUP BY 1")
+@query("a20_delta_wide", _ACC + " SELECT basin, " + ", ".join(f"max({c}) FILTER (year = {y}) AS {n}_{y}" for y in YEARS for n, c in (("acc_a", "acc_a"), ("acc_b", "acc_b"), ("delta", "abs(acc_a - acc_b)"))) + " FROM acc GROUP BY 1")
 def delta_wide(v: Views):
-    return tables.wide_by_year(_deltas(v), (1995, 1998, 2001))
+    return tables.wide_by_year(_deltas(v), YEARS)
 
 
 @query("p17_drop_unobserved", "SELECT pixel_id, year, reference, classification FROM points WHERE pixel_id NOT IN (SELECT pixel_id FROM points WHERE reference = 33 OR classification = 33)")

@@ -34,7 +34,7 @@ c AS (SELECT * EXCLUDE (class_a, class_b, class_c), class_c AS class FROM maps),
 pairs AS (SELECT * EXCLUDE (class_a, class_b, class_c), class_a AS a, class_b AS b FROM maps),
 points AS (
   SELECT pixel_id, basin, year, class_a AS reference, class_b AS classification
-  FROM maps WHERE pixel_id % 3 = 0 AND class_a IS NOT NULL AND class_b IS NOT NULL
+  FROM maps WHERE class_a IS NOT NULL AND class_b IS NOT NULL
 ), region AS (
   SELECT 'basin' AS region_kind, p_brand AS region_id, p_partkey AS pixel_id FROM part
   UNION ALL SELECT 'territory', p_type, p_partkey FROM part
@@ -106,7 +106,7 @@ class Views:
     @property
     def points(self) -> DataFrame:
         """Reference points: map a is the reference, map b the classification."""
-        both = self.maps.where("pixel_id % 3 = 0 and class_a is not null and class_b is not null")
+        both = self.maps.where("class_a is not null and class_b is not null")
         return both.select("pixel_id", "basin", "year", F.col("class_a").alias("reference"), F.col("class_b").alias("classification"))
 
     @property
