@@ -40,11 +40,16 @@ def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def discard(spark: SparkSession, *written: DataFrame) -> None:
-    """Delete tables of materialise() that no later plan reads, and shuffle files no longer used."""
+def remove(*written: DataFrame) -> None:
+    """Delete tables in the scratch folder that no later plan reads."""
     for df in written:
         for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
-            scratch.drop(spark, folder)
+            scratch.drop(df.sparkSession, folder)
+
+
+def discard(spark: SparkSession, *written: DataFrame) -> None:
+    """remove() tables, and let go of shuffle files no longer used."""
+    remove(*written)
     time.sleep(1)  # the last query's listeners hold on to it for a moment
     _let_go(spark)
 

@@ -26,7 +26,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, table, text_of
+from ..scratch import stored
+from .common import materialise, remove, text_of
+from .common import table as read_table
 
 RADIUS = 4
 #: Fingerprints for each prefix, on average, that k aims at.
@@ -190,16 +192,17 @@ def components(edges: DataFrame) -> DataFrame:
     """
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = materialise(both, "edges")
-    roots = materialise(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")), "roots")
+    table = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")), "roots")
     while True:
+        roots = table.select("node", "root")
         near = both.join(roots.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
         new = roots.join(near, "node").select("node", "root", F.least("root", "near").alias("new"))
         jump = roots.select(F.col("node").alias("new"), F.col("root").alias("jump"))
         new = new.join(jump, "new", "left").select("node", F.least("new", "jump").alias("root"), (F.least("new", "jump") < F.col("root")).alias("moved"))
-        new = materialise(new, "roots")
-        if not new.where("moved").limit(1).count():
-            return new.select("node", "root")
-        roots = new.select("node", "root")
+        last, table = table, stored(new, "roots")
+        remove(last)
+        if not table.where("moved").limit(1).count():
+            return table.select("node", "root")
 
 
 def groups(docs: DataFrame, id: str = "doc_id") -> DataFrame:
@@ -324,6 +327,6 @@ def dedup(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", fingerprints(F.col("text")).alias("fp"))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", fingerprints(F.col("text")).alias("fp"))
     found = groups(materialise(docs, "fingerprints"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
