@@ -10,6 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import stored
+
 
 def pair_counts(points: DataFrame, *keys: str) -> DataFrame:
     """keys, ref, pred, n: the one scan that all measures share."""
@@ -116,18 +118,33 @@ def triangle_errors(points: DataFrame, labels: Sequence[int], *keys: str) -> Dat
     return kept.groupBy(*keys).agg((F.count_if(above) / F.count("*")).alias("commission"), (F.count_if(below) / F.count("*")).alias("omission"))
 
 
-def roc(scored: DataFrame, *keys: str) -> DataFrame:
-    """Exact ROC points of (label 0/1, score): fpr and tpr at each distinct score, by falling score."""
+def _ranked(scored: DataFrame, *keys: str) -> DataFrame:
+    """score, pos and neg at each distinct score, over and under (of pos and neg) above it and in all.
+
+    Scores are dealt out in ranges; sums run inside a range and the earlier ranges' are
+    added, so a key with any number of scores is split over tasks.
+    """
     at = scored.groupBy(*keys, "score").agg(F.sum("label").alias("pos"), F.sum(1 - F.col("label")).alias("neg"))
-    upto = Window.partitionBy(*keys).orderBy(F.desc("score"))
+    at = stored(at.repartitionByRange(*keys, F.desc("score")).withColumn("_range", F.spark_partition_id()), "scores")
+    sums = at.groupBy(*keys, "_range").agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
     whole = Window.partitionBy(*keys)
-    share = lambda c: F.try_divide(F.sum(c).over(upto), F.sum(c).over(whole))
-    return at.select(*keys, "score", share("neg").alias("fpr"), share("pos").alias("tpr"))
+    earlier = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = lambda c: F.coalesce(F.sum(c).over(earlier), F.lit(0))
+    sums = sums.select(*keys, "_range", *(x for c in ("pos", "neg") for x in (before(f"_{c}").alias(f"{c}_before"), F.sum(f"_{c}").over(whole).alias(f"{c}_all"))))
+    inside = Window.partitionBy(*keys, "_range").orderBy(F.desc("score"))
+    upto = {f"{c}_upto": F.sum(c).over(inside) for c in ("pos", "neg")}
+    joined = at.withColumns(upto).join(sums, [*keys, "_range"])
+    return joined.withColumns({f"{c}_upto": F.col(f"{c}_upto") + F.col(f"{c}_before") for c in ("pos", "neg")})
+
+
+def roc(scored: DataFrame, *keys: str) -> DataFrame:
+    """Exact ROC points of (label 0/1, score): fpr and tpr at each distinct score, by falling score."""
+    share = lambda c: F.try_divide(f"{c}_upto", f"{c}_all")
+    return _ranked(scored, *keys).select(*keys, "score", share("neg").alias("fpr"), share("pos").alias("tpr"))
 
 
-def auc(curve: DataFrame, *keys: str) -> DataFrame:
-    """Area under roc() by trapezoids, from (0, 0)."""
-    by = Window.partitionBy(*keys).orderBy(F.desc("score"))
-    x0, y0 = (F.coalesce(F.lag(c).over(by), F.lit(0.0)) for c in ("fpr", "tpr"))
-    part = (F.col("fpr") - x0) * (F.col("tpr") + y0) / 2
-    return curve.select(*keys, part.alias("part")).groupBy(*keys).agg(F.sum("part").alias("auc"))
+def auc(scored: DataFrame, *keys: str) -> DataFrame:
+    """Area under the ROC of (label 0/1, score) by trapezoids, from (0, 0)."""
+    part = F.col("neg") * (2 * F.col("pos_upto") - F.col("pos")) / 2
+    area = F.try_divide(F.sum(part), F.max("neg_all") * F.max("pos_all"))
+    return _ranked(scored, *keys).groupBy(*keys).agg(area.alias("auc"))

@@ -15,10 +15,11 @@ def pair_maps(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.withColumnRenamed("class", "a").join(other, ["pixel_id", "year"])
 
 
-def agreement(cls: int, a: Column, b: Column) -> Column:
-    """1 both maps have the class, 2 only the newer (b), 3 only a; masked elsewhere."""
+def agreement(cls: int, a: Column, b: Column, newer: str = "b") -> Column:
+    """1 both maps have the class, 2 only the newer (b, or a if so named), 3 only the older; masked elsewhere."""
     has = lambda c: F.coalesce(c == cls, F.lit(False))
-    return F.when(has(a) & has(b), 1).when(has(b), 2).when(has(a), 3)
+    new, old = (a, b) if newer == "a" else (b, a)
+    return F.when(has(new) & has(old), 1).when(has(new), 2).when(has(old), 3)
 
 
 def synthesis(code: Column, a: Column, b: Column, swapped: bool = False) -> Column:

@@ -7,9 +7,11 @@ and applied by Spark; loops on the driver go over models, never over rows.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Model
-from pyspark.ml.classification import GBTClassifier, LinearSVC, OneVsRest, RandomForestClassifier
+from pyspark.ml import Estimator, Model
+from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, LinearSVC, OneVsRest, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -18,6 +20,9 @@ from pyspark.sql import functions as F
 
 from .areas import majority_key
 
+#: Models fitted side by side.
+PARALLEL = 8
+
 
 def vectors(df: DataFrame, features: str = "features", picked: Sequence[int] | None = None) -> DataFrame:
     """Adds vec from an array column, or from some of its places."""
@@ -29,6 +34,10 @@ def forest(trees: int = 165, per_split: int = 15, leaf: int = 40, bag: float = 0
     return RandomForestClassifier(featuresCol="vec", labelCol="label", numTrees=trees, featureSubsetStrategy=str(per_split), minInstancesPerNode=leaf, subsamplingRate=bag, seed=seed)
 
 
+def tree(leaf: int = 40, seed: int = 0) -> DecisionTreeClassifier:
+    return DecisionTreeClassifier(featuresCol="vec", labelCol="label", minInstancesPerNode=leaf, seed=seed)
+
+
 def max_probability(predicted: DataFrame) -> DataFrame:
     """Adds prob, the greatest class probability in percent."""
     return predicted.withColumn("prob", F.floor(100 * F.array_max(vector_to_array("probability"))).cast("int"))
@@ -37,7 +46,9 @@ def max_probability(predicted: DataFrame) -> DataFrame:
 def boost_one_vs_rest(train: DataFrame, classes: Iterable[int], trees: int = 25, rate: float = 0.1, bag: float = 0.8, seed: int = 0) -> dict[int, Model]:
     """A binary boosted model for each class: MLlib's boosting has two classes only."""
     made = GBTClassifier(featuresCol="vec", labelCol="is", maxIter=trees, stepSize=rate, subsamplingRate=bag, seed=seed)
-    return {k: made.fit(train.withColumn("is", (F.col("label") == k).cast("double"))) for k in classes}
+    classes = list(classes)
+    fit = lambda k: made.fit(train.withColumn("is", (F.col("label") == k).cast("double")))
+    return dict(zip(classes, _at_once(fit, classes)))
 
 
 def predict_one_vs_rest(models: dict[int, Model], df: DataFrame) -> DataFrame:
@@ -72,6 +83,11 @@ def accuracy(predicted: DataFrame) -> float:
     return MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName="accuracy").evaluate(predicted.withColumn("prediction", F.col("prediction").cast("double")))
 
 
+def top_features(model: Model, size: int, n: int) -> list[int]:
+    """The n most important features, ties by place."""
+    return sorted(sorted(range(size), key=lambda i: (-model.featureImportances[i], i))[:n])
+
+
 def importances(df: DataFrame, model: Model, size: int) -> DataFrame:
     """feature and importance, least first."""
     rows = [(i, float(model.featureImportances[i])) for i in range(size)]
@@ -82,27 +98,26 @@ def permutation_importance(df: DataFrame, model: Model, features: Iterable[int],
     """Mean drop of accuracy when one feature's values are dealt to other rows.
 
     Rows are numbered by two hash orders inside blocks of keys and joined, so a value
-    moves to another row of its block without one task seeing all.
+    moves to another row of its block without one task seeing all. Every row is then
+    applied once for each feature and repeat: one job, whose rows Spark deals out.
     """
     base = accuracy(model.transform(df))
-    rows = []
-    for f in features:
-        drops = []
-        for r in range(repeats):
-            block = F.pmod(F.xxhash64(F.lit(r), key), F.lit(64))
-            plain = df.withColumns({"_b": block}).withColumn("_n", F.row_number().over(Window.partitionBy("_b").orderBy(key)))
-            order = F.xxhash64(F.lit(seed + r), key)
-            mixed = df.select(block.alias("_b"), F.row_number().over(Window.partitionBy(block).orderBy(order, key)).alias("_n"), F.col("features")[f].alias("_v"))
-            dealt = plain.join(mixed, ["_b", "_n"]).withColumn("features", F.transform("features", lambda x, i: F.when(i == f, F.col("_v")).otherwise(x)))  # noqa: B023
-            drops.append(base - accuracy(model.transform(vectors(dealt))))
-        rows.append((f, sum(drops) / len(drops)))
-    return df.sparkSession.createDataFrame(rows, "feature int, drop double")
+    tries = df.withColumn("_r", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+    tries = tries.withColumns({"_b": F.pmod(F.xxhash64("_r", key), F.lit(64)), "_order": F.xxhash64(F.col("_r") + seed, key)})
+    number = lambda *order: F.row_number().over(Window.partitionBy("_r", "_b").orderBy(*order))
+    plain = tries.select("_r", "_b", number(key).alias("_n"), "features", "label")
+    other = tries.select("_r", "_b", number("_order", key).alias("_n"), F.col("features").alias("_other"))
+    dealt = plain.join(other, ["_r", "_b", "_n"]).withColumn("feature", F.explode(F.array(*map(F.lit, features))))
+    changed = F.transform("features", lambda x, i: F.when(i == F.col("feature"), F.get("_other", i)).otherwise(x))
+    made = model.transform(vectors(dealt.select("feature", "_r", "label", changed.alias("features"))))
+    scores = made.groupBy("feature", "_r").agg(F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("score"))
+    return scores.groupBy("feature").agg((F.lit(base) - F.avg("score")).alias("drop"))
 
 
 def cross_validate(df: DataFrame, estimator, folds: int) -> float:
     """Mean accuracy over the values of fold."""
-    scores = [accuracy(estimator.fit(df.where(F.col("fold") != k)).transform(df.where(F.col("fold") == k))) for k in range(folds)]
-    return sum(scores) / folds
+    one = lambda k: accuracy(estimator.fit(df.where(F.col("fold") != k)).transform(df.where(F.col("fold") == k)))
+    return sum(_at_once(one, range(folds))) / folds
 
 
 def eliminate(df: DataFrame, size: int, least: int, step: int, folds: int, make) -> DataFrame:
@@ -130,17 +145,48 @@ def eliminate(df: DataFrame, size: int, least: int, step: int, folds: int, make)
     return df.sparkSession.createDataFrame(sorted((f, ranks.get(f, 1)) for f in range(size)), "feature int, ranking int")
 
 
+def compare_models(df: DataFrame, estimators: dict[str, Estimator], folds: int = 5) -> DataFrame:
+    """model, fold, accuracy: every estimator fitted without and judged on each value of fold."""
+
+    def one(job: tuple[str, int]) -> tuple[str, int, float]:
+        name, k = job
+        made = estimators[name].fit(df.where(F.col("fold") != k)).transform(df.where(F.col("fold") == k))
+        return name, k, accuracy(made)
+
+    rows = _at_once(one, [(name, k) for name in estimators for k in range(folds)])
+    return df.sparkSession.createDataFrame(rows, "model string, fold int, accuracy double")
+
+
+def _at_once(work, jobs: Sequence) -> list:
+    """work of each job, some side by side: each is a series of Spark jobs too small to fill a cluster."""
+    with ThreadPool(min(PARALLEL, len(jobs))) as pool:
+        return pool.map(work, jobs, chunksize=1)
+
+
 def grid_search(df: DataFrame, rates: Iterable[float], trees: Iterable[int], classes: Sequence[int], folds: int = 2) -> DataFrame:
-    """rate, trees, score: cross-validated accuracy of one-vs-rest boosting."""
-    rows = []
-    for rate in rates:
-        for n in trees:
-            scores = []
-            for k in range(folds):
-                models = boost_one_vs_rest(df.where(F.col("fold") != k), classes, n, rate)
-                scores.append(accuracy(predict_one_vs_rest(models, df.where(F.col("fold") == k))))
-            rows.append((float(rate), int(n), sum(scores) / folds))
-    return df.sparkSession.createDataFrame(rows, "rate double, trees int, score double")
+    """rate, trees, score: cross-validated accuracy of one-vs-rest boosting.
+
+    Boosting adds trees one by one, so a model is fitted with the most trees only and
+    judged after each of the numbers in trees.
+    """
+    trees = sorted(trees)
+
+    def fitted(job: tuple[float, int, int]) -> DataFrame:
+        rate, k, cls = job
+        train, test = df.where(F.col("fold") != k), df.where(F.col("fold") == k)
+        model = boost_one_vs_rest(train, [cls], trees[-1], rate)[cls]
+        made = test.select("id", "label", "vec")
+        for i, tree in enumerate(model.trees):
+            made = tree.copy().setPredictionCol(f"_t{i}").transform(made)
+        margin = lambda n: sum((F.col(f"_t{i}") * model.treeWeights[i] for i in range(min(n, len(model.trees)))), F.lit(0.0))
+        margins = F.array(*(F.struct(F.lit(n).alias("trees"), margin(n).alias("margin")) for n in trees))
+        return made.select(F.lit(float(rate)).alias("rate"), F.lit(k).alias("fold"), F.lit(cls).alias("cls"), "id", "label", F.inline(margins))
+
+    jobs = [(rate, k, cls) for rate in rates for k in range(folds) for cls in classes]
+    judged = reduce(DataFrame.unionByName, _at_once(fitted, jobs))
+    best = judged.groupBy("rate", "fold", "trees", "id", "label").agg(F.max(F.struct("margin", (-F.col("cls")).alias("cls")))["cls"].alias("cls"))
+    by_fold = best.groupBy("rate", "fold", "trees").agg(F.avg((-F.col("cls") == F.col("label")).cast("double")).alias("score"))
+    return by_fold.groupBy("rate", "trees").agg(F.avg("score").alias("score"))
 
 
 def dominant_cluster(df: DataFrame, clusters: int, seed: int = 0) -> DataFrame:

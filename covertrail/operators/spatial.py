@@ -61,20 +61,26 @@ def contrast(df: DataFrame, band: str, *keys: str) -> DataFrame:
 def connected_count(df: DataFrame, most: int, *keys: str) -> DataFrame:
     """df with conn: the size of the 8-connected component of equal class, at most `most`.
 
-    The least label spreads over an edge table for `most` rounds. A component smaller
-    than that has settled by then; a label that still meets another one belongs to a
-    component of at least `most`. NULL is in no component.
+    In a round a cell takes the least label among its neighbours' and then its label's
+    label, so a long component settles in about the logarithm of its length. After `most`
+    rounds a component smaller than that has settled in any case; a label that still
+    meets another one belongs to a component of at least `most`. NULL is in no component.
     """
     cells = df.where(F.col("class").isNotNull()).select(*keys, "x", "y", "class", F.struct("y", "x").alias("at"))
     near = _spread(cells.select(*keys, "x", "y", "class", "at"), _offsets(1, own=False))
     near = near.select(*keys, F.col("to_x").alias("x"), F.col("to_y").alias("y"), "class", F.col("at").alias("other"))
     edges = stored(cells.join(near, [*keys, "x", "y", "class"]).select(*keys, "at", "other"), "edges")
     labels = cells.select(*keys, "at", F.col("at").alias("label"))
-    for done in range(most):
-        spread = edges.join(labels.withColumnRenamed("at", "other"), [*keys, "other"]).groupBy(*keys, "at").agg(F.min("label").alias("least"))
-        labels = labels.join(spread, [*keys, "at"], "left").select(*keys, "at", F.least("label", "least").alias("label"))
-        if done % 4 == 3 or done == most - 1:
-            labels = stored(labels, "labels")
+    for _ in range(most):
+        before = labels.select(*keys, "at", "label")
+        spread = edges.join(before.withColumnRenamed("at", "other"), [*keys, "other"]).groupBy(*keys, "at").agg(F.min("label").alias("least"))
+        hop = before.join(spread, [*keys, "at"], "left").select(*keys, "at", F.col("label").alias("was"), F.least("label", "least").alias("label"))
+        jump = before.select(*keys, F.col("at").alias("label"), F.col("label").alias("jump"))
+        least = F.least("label", "jump")
+        labels = stored(hop.join(jump, [*keys, "label"]).select(*keys, "at", least.alias("label"), (least < F.col("was")).alias("moved")), "labels")
+        if not labels.where("moved").limit(1).count():
+            break
+    labels = labels.select(*keys, "at", "label")
     sizes = labels.groupBy(*keys, "label").agg(F.count("*").alias("n"))
     other = labels.select(*keys, F.col("at").alias("other"), F.col("label").alias("other_label"))
     open_ = edges.join(labels, [*keys, "at"]).join(other, [*keys, "other"]).where("label <> other_label").select(*keys, "label").distinct()

@@ -74,6 +74,15 @@ def tuned_year(year: Column) -> Column:
     return F.when(year > 2018, 2021).otherwise(2016)
 
 
+def tuned_parameters(keys: DataFrame, registry: DataFrame, shift: int = 0, rate: float = 0.1, trees: int = 25) -> DataFrame:
+    """keys (basin, year) with the learning rate and trees of registry (basin, tuned, rate, trees), else the defaults.
+
+    shift is added to the year before its tuning year is looked up.
+    """
+    tuned = keys.withColumn("tuned", tuned_year(F.col("year") + shift)).join(registry, ["basin", "tuned"], "left").drop("tuned")
+    return tuned.withColumns({"rate": F.coalesce("rate", F.lit(rate)), "trees": F.coalesce("trees", F.lit(trees))})
+
+
 def usable_bands(selected: DataFrame, available: Iterable[str]) -> DataFrame:
     """bands: the selected ones that exist, in rank order."""
     ranked = F.transform(F.sort_array(F.collect_list(F.struct("rank", "band"))), lambda x: x["band"])

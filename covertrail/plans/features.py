@@ -57,7 +57,8 @@ _KEYS = ["pixel_id", "year", "l_orderkey", "l_linenumber"]
 @query("x1_indices", _BANDS + " SELECT pixel_id, year, l_orderkey, l_linenumber, " + ", ".join(f"{micro_sql(e)} AS {n}" for n, e in INDEX_SQL.items()) + " FROM bands")
 def all_indices(v: Views):
     """Every index of every scene, in millionths."""
-    return v.scenes.select(*_KEYS, *(micro(indices.index(n)).alias(n) for n in indices.INDICES))
+    made = v.scenes.select(*_KEYS, *(indices.index(n).alias(n) for n in indices.INDICES))
+    return made.select(*_KEYS, *(micro(F.col(n)).alias(n) for n in indices.INDICES))
 
 
 @query(
@@ -165,10 +166,10 @@ def neighbours(v: Views):
     return joined.join(v.table("region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_name").alias("basin"), "neighbour", "r_name")
 
 
-@query("j9_m13_missing_work", ", keys AS (SELECT DISTINCT basin, year FROM a), done AS (SELECT DISTINCT basin, year FROM a WHERE class = 33) SELECT * FROM keys EXCEPT SELECT * FROM done")
+@query("j9_m13_missing_work", ", keys AS (SELECT DISTINCT basin, territory, year FROM a), done AS (SELECT DISTINCT basin, territory, year FROM a WHERE class = 33) SELECT * FROM keys EXCEPT SELECT * FROM done")
 def missing_work(v: Views):
-    keys = v.a.select("basin", "year").distinct()
-    return tables.missing(keys, v.a.where("class = 33").select("basin", "year").distinct())
+    keys = v.a.select("basin", "territory", "year").distinct()
+    return tables.missing(keys, v.a.where("class = 33").select("basin", "territory", "year").distinct())
 
 
 @query("j10_intersect", "SELECT pixel_id FROM region WHERE region_kind = 'protected' INTERSECT SELECT pixel_id FROM region WHERE region_id = 'Brand#12'")
@@ -181,6 +182,18 @@ def tuned_year(v: Views):
     return v.a.select("basin", tables.tuned_year(F.col("year") + 19).alias("tuned"), "year").distinct()
 
 
+# every third basin has no entry and takes the defaults; the numbers follow from the map
+_TUNED = "SELECT basin, tuned, round(0.1 + n % 6 * 0.02, 2) AS rate, (35 + n % 8 * 5)::INT AS trees FROM (SELECT basin, CASE WHEN year + 19 > 2018 THEN 2021 ELSE 2016 END AS tuned, count(DISTINCT class) AS n FROM a WHERE p_size % 3 <> 0 GROUP BY ALL)"
+
+
+@query("l14_tuned_parameters", f", registry AS ({_TUNED}), keys AS (SELECT DISTINCT basin, year, CASE WHEN year + 19 > 2018 THEN 2021 ELSE 2016 END AS tuned FROM a) SELECT basin, year, coalesce(rate, 0.1)::DOUBLE AS rate, coalesce(trees, 25) AS trees FROM keys LEFT JOIN registry USING (basin, tuned)")
+def tuned_parameters(v: Views):
+    tuned = tables.tuned_year(F.col("year") + 19)
+    counted = v.a.where("p_size % 3 <> 0").groupBy("basin", tuned.alias("tuned")).agg(F.countDistinct("class").alias("n"))
+    registry = counted.select("basin", "tuned", F.round(0.1 + F.col("n") % 6 * 0.02, 2).alias("rate"), (35 + F.col("n") % 8 * 5).cast("int").alias("trees"))
+    return tables.tuned_parameters(v.a.select("basin", "year").distinct(), registry, shift=19)
+
+
 _SHARES = f", areas AS (SELECT basin, year, class, {HA} AS area FROM a WHERE class IS NOT NULL AND class <> 12 GROUP BY ALL), shares AS (SELECT basin, year, class, area / sum(area) OVER (PARTITION BY basin, year) AS share FROM areas)"
 
 

@@ -56,7 +56,7 @@ def scan_samples(v: Views):
 def registry(v: Views):
     path = new_path(v.spark, "registry")
     files.write_registry(v.a.select("basin", "p_size").distinct(), path, "basin", "p_size")
-    lines = v.spark.read.text(path).select(F.explode(F.from_json("value", "map<string,array<int>>")))
+    lines = files.load_registry(v.spark, path, "array<int>", whole=False)
     return lines.select("key", F.size("value").cast("long").alias("n"), F.array_max("value").alias("most"))
 
 
@@ -77,9 +77,9 @@ def band_registry(v: Views):
     return tables.usable_bands(_ranked(v), names).select("basin", "year", F.array_join("bands", ",").alias("bands"))
 
 
-@query("s13_s14_ledger", ", keys AS (SELECT DISTINCT basin, year FROM a) SELECT basin, year FROM keys WHERE (basin, year) NOT IN (SELECT (basin, year) FROM a WHERE class = 22)")
+@query("s13_s14_ledger", ", keys AS (SELECT DISTINCT basin, territory, year FROM a), done AS (SELECT DISTINCT basin, territory, year FROM a WHERE class = 22) SELECT basin, territory, year FROM keys ANTI JOIN done USING (basin, territory, year)")
 def ledger(v: Views):
     """Work that a ledger, written and read back, does not record as done."""
     path = new_path(v.spark, "ledger")
-    files.write_table(v.a.where("class = 22").select("basin", "year").distinct(), path)
-    return tables.missing(v.a.select("basin", "year").distinct(), v.spark.read.parquet(path))
+    files.write_table(v.a.where("class = 22").select("basin", "territory", "year").distinct(), path)
+    return tables.missing(v.a.select("basin", "territory", "year").distinct(), v.spark.read.parquet(path))

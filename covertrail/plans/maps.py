@@ -220,6 +220,13 @@ def agreement(v: Views):
     return found.select("pixel_id", "year", compare.agreement(4, F.col("a"), F.col("b")).alias("code"))
 
 
+@query("c2_agreement_older", f"SELECT basin, year, code, {HA} AS area FROM (SELECT basin, year, area_m2, CASE WHEN a = 3 AND coalesce(b = 3, false) THEN 1 WHEN a = 3 THEN 2 WHEN b = 3 THEN 3 END AS code FROM pairs) WHERE code IS NOT NULL GROUP BY ALL")
+def agreement_older(v: Views):
+    """The numbering in which the first map is the newer one."""
+    coded = v.pairs.withColumn("code", compare.agreement(3, F.col("a"), F.col("b"), newer="a")).where("code is not null")
+    return coded.groupBy("basin", "year", "code").agg(areas.area())
+
+
 @query("c3_synthesis", f"SELECT pixel_id, year, CASE WHEN code IN (1, 3) THEN a WHEN code = 2 THEN b END AS plain, CASE WHEN code IN (1, 3) THEN b WHEN code = 2 THEN a END AS swapped FROM (SELECT *, {_CODE.replace('= k', '= 3')} AS code FROM pairs)")
 def agreement_synthesis(v: Views):
     a, b = F.col("a"), F.col("b")

@@ -53,18 +53,26 @@ def svm(v: Views):
 
 @query("l5_models_by_fold")
 def by_fold(v: Views):
-    """One model for each group of samples (folds stand for basin-years), applied to the next group."""
+    """One model with a feature list of its own for each group of samples (folds stand for basin-years), applied to the next group."""
     rows, out = samples(v), None
     for k in range(5):
-        made = _small().fit(rows.where(F.col("fold") == k)).transform(rows.where(F.col("fold") == (k + 1) % 5))
-        made = made.select("id", F.lit(k).alias("model"), F.col("prediction").cast("int").alias("prediction"))
+        train, test = rows.where(F.col("fold") == k), rows.where(F.col("fold") == (k + 1) % 5)
+        picked = ml.top_features(_small().fit(train), SIZE, 32)
+        made = _small().fit(ml.vectors(train, picked=picked)).transform(ml.vectors(test, picked=picked))
+        made = made.select("id", F.lit(k).alias("model"), F.lit(",".join(map(str, picked))).alias("features"), F.col("prediction").cast("int").alias("prediction"))
         out = made if out is None else out.unionByName(made)
     return out
 
 
 @query("l6_l7_elimination")
 def elimination(v: Views):
-    return ml.eliminate(samples(v), SIZE, least=16, step=24, folds=2, make=lambda: ml.forest(trees=5, per_split=4, leaf=2))
+    return ml.eliminate(samples(v).withColumn("fold", F.col("fold") % 3), SIZE, least=16, step=8, folds=3, make=lambda: ml.forest(trees=10, per_split=4, leaf=2))
+
+
+@query("l7_model_comparison")
+def comparison(v: Views):
+    """Tree against forest, five folds each."""
+    return ml.compare_models(samples(v), {"tree": ml.tree(leaf=2), "forest": _small()}, folds=5)
 
 
 @query("l8_importance")
@@ -76,14 +84,14 @@ def importance(v: Views):
 @query("l9_permutation_importance")
 def permutation(v: Views):
     train, test = _split(v)
-    return ml.permutation_importance(test, _small().fit(train), range(3), repeats=2)
+    return ml.permutation_importance(test, _small().fit(train), range(SIZE), repeats=10)
 
 
 @query("l10_a21_grid_search")
 def grid(v: Views):
-    rows = samples(v).where("label < 3")
-    scores = ml.grid_search(rows.withColumn("fold", F.col("fold") % 2), (0.1, 0.2), (2, 4), range(3))
-    return ml.cv_pivot(scores, (2, 4))
+    trees = (2, 4, 6, 8)
+    scores = ml.grid_search(samples(v).withColumn("fold", F.col("fold") % 2), (0.1, 0.125, 0.15, 0.175, 0.2), trees, CLASSES)
+    return ml.cv_pivot(scores, trees)
 
 
 @query("l12_dominant_cluster")

@@ -131,5 +131,5 @@ def roc(v: Views):
 @query("a22_auc_mean_std", _SCORED + _CURVE + f""", auc AS (SELECT year, sum(part) AS auc FROM (SELECT year, (fpr - coalesce(lag(fpr) OVER w, 0)) * (tpr + coalesce(lag(tpr) OVER w, 0)) / 2 AS part FROM curve WINDOW w AS (PARTITION BY year ORDER BY score DESC)) GROUP BY 1)
  SELECT {micro_sql('avg(auc)')} AS mean_auc, {micro_sql('stddev_pop(auc)')} AS std_auc FROM auc""")
 def auc_mean_std(v: Views):
-    found = accuracy.auc(accuracy.roc(_scored(v), "year"), "year")
+    found = accuracy.auc(_scored(v), "year")
     return found.agg(micro(F.avg("auc")).alias("mean_auc"), micro(F.stddev_pop("auc")).alias("std_auc"))

@@ -54,9 +54,9 @@ def write_table(df: DataFrame, path: str, kind: str = "parquet") -> None:
     writer.csv(path, header=True) if kind == "csv" else writer.parquet(path)
 
 
-def load_registry(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A JSON object in a file as rows (key, value), value read by its schema."""
-    text = spark.read.text(path, wholetext=True)
+def load_registry(spark: SparkSession, path: str, schema: str, whole: bool = True) -> DataFrame:
+    """A JSON object in a file, or one a line, as rows (key, value), value read by its schema."""
+    text = spark.read.text(path, wholetext=whole)
     return text.select(F.explode(F.from_json("value", f"map<string,{schema}>")))
 
 

@@ -78,3 +78,24 @@ def test_disagreement_adds_up(spark):
     for r in per:
         assert float(r.exchange + r["shift"]) == pytest.approx(float(r.allocation), abs=0.03)
     assert sum(float(r.quantity + r.allocation) for r in per) / 2 == pytest.approx(100 - right, abs=0.05)
+
+
+def test_connected_snake(spark):
+    """A component far longer than the rounds that a pointer jump takes, beside a short one."""
+    snake = [(x, 0, 3) for x in range(120)] + [(x, 5, 3) for x in range(4)]
+    df = spark.createDataFrame(snake, "x int, y int, class int")
+    found = {(r.x, r.y): r.conn for r in spatial.connected_count(df, 200).collect()}
+    assert {found[x, 0] for x in range(120)} == {120} and {found[x, 5] for x in range(4)} == {4}
+    assert {r.conn for r in spatial.connected_count(df, 50).where("y = 0").collect()} == {50}
+
+
+def test_roc_ranges(spark):
+    """Ranges of scores give the curve and the area of a plain count."""
+    rows = [(k, (i * 7 + k) % 3 == 0, (i * 37 % 50) / 50) for k in (0, 1) for i in range(300)]
+    df = spark.createDataFrame([(k, int(y), s) for k, y, s in rows], "k int, label int, score double")
+    for k in (0, 1):
+        pos, neg = ([s for q, y, s in rows if q == k and y == want] for want in (True, False))
+        for r in accuracy.roc(df, "k").where(f"k = {k}").collect():
+            assert abs(r.tpr - sum(s >= r.score for s in pos) / len(pos)) < 1e-12 and abs(r.fpr - sum(s >= r.score for s in neg) / len(neg)) < 1e-12
+        want = sum((p > n) + (p == n) / 2 for p in pos for n in neg) / len(pos) / len(neg)
+        assert abs(accuracy.auc(df, "k").where(f"k = {k}").first().auc - want) < 1e-12

@@ -42,6 +42,6 @@ def test_sql(spark, duck, name):
     assert rows(df.columns, df.collect()) == rows([c[0] for c in result.description], result.fetchall())
 
 
-@pytest.mark.parametrize("name", ["l1_l4_forest", "l2_l4_boosting", "l8_importance", "l12_dominant_cluster"])
+@pytest.mark.parametrize("name", ["l1_l4_forest", "l2_l4_boosting", "l7_model_comparison", "l8_importance", "l9_permutation_importance", "l12_dominant_cluster"])
 def test_models(spark, name):
     assert models.Q[name](spark, str(DATA)).count() > 0
