@@ -4,18 +4,20 @@ Every rule is evaluated once per document. The ledger keeps the measurements and
 one integer whose bits say which rules failed; policies (named sets of rules) and
 ablations are then integer arithmetic on that column, without the texts.
 
-All of it is SQL expressions in one narrow stage: nothing is shuffled until an
-ablation counts rows.
+All of it is SQL expressions in one narrow stage, and the ledger is stored without the
+texts: any number of policies and ablations then read it. Nothing is shuffled until an
+ablation counts rows, and then one row for each pattern of bits.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACES, table, text_of, words_of
+from .common import materialise, table, text_of, words_of
 
 
 @dataclass(frozen=True)
@@ -47,10 +49,21 @@ POLICIES = {
 }
 
 
+#: The rules' names by bit.
+NAMES = ("few_words", "repeated_words", "symbols", "repeated_lines", "long_words", "shouting")
+
+
+def policy_bit(rule: str) -> int:
+    return 1 << NAMES.index(rule)
+
+
 def policy_mask(policy: str) -> int:
     """The bits of the policy's rules."""
-    names = [r.name for r in rules()]
-    return sum(1 << names.index(n) for n in POLICIES[policy])
+    return sum(map(policy_bit, POLICIES[policy]))
+
+
+#: Columns that measure() adds.
+MEASURED = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_upper", "n_repeat_words")
 
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -116,6 +129,16 @@ def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
     return measure(docs, text).withColumn("failed_bits", bits)
 
 
+def stored_ledger(docs: DataFrame, *keep: str, text: str = "text") -> DataFrame:
+    """The ledger's measurements and bits with the columns to keep, written to the scratch folder.
+
+    Rows are those of docs, one each; a kept column with the name of a measurement gives
+    way to the measurement.
+    """
+    made = [*MEASURED, "failed_bits"]
+    return materialise(ledger(docs, text).select(*(c for c in keep if c not in made), *made), "ledger")
+
+
 def passes(policy: str) -> Column:
     """True where a row of the ledger passes the policy."""
     return F.col("failed_bits").bitwiseAND(policy_mask(policy)) == 0
@@ -138,11 +161,10 @@ def ablate(scored: DataFrame, policy: str = "v1") -> DataFrame:
     kept without the rule. Counts combine before the single small shuffle.
     """
     mask = policy_mask(policy)
-    names = [r.name for r in rules()]
     bits = F.col("failed_bits").bitwiseAND(mask)
     aggs = [F.count_if(bits == 0).alias("_kept")]
     for name in POLICIES[policy]:
-        bit = 1 << names.index(name)
+        bit = policy_bit(name)
         aggs += [F.count_if(bits.bitwiseAND(bit) != 0).alias(f"_{name}"), F.count_if(bits == bit).alias(f"_{name}_only")]
     rows = F.array(
         *(
@@ -158,8 +180,40 @@ def ablate(scored: DataFrame, policy: str = "v1") -> DataFrame:
     return scored.agg(*aggs).select(F.inline(rows))
 
 
+def patterns(scored: DataFrame) -> DataFrame:
+    """failed_bits and n_docs: how many documents of the ledger fail just these rules (64 patterns at most)."""
+    return scored.groupBy("failed_bits").agg(F.count("*").alias("n_docs"))
+
+
+def ablations(scored: DataFrame, most: int = 2) -> DataFrame:
+    """What every policy keeps if up to most of its rules are dropped together.
+
+    policy; dropped, the rules' names joined by +, empty for the policy as it is; n_kept;
+    n_more, how many documents come back; all_bits and any_bits, the rules that all and
+    that any of its rejected documents fail (null: none rejected). One pass counts
+    patterns of bits; masks decide the rest. An empty ledger gives no rows.
+    """
+    cases = []
+    for policy, tests in POLICIES.items():
+        for drop in (d for k in range(most + 1) for d in combinations(tests, k)):
+            left = policy_mask(policy) & ~sum(map(policy_bit, drop))
+            cases.append(F.struct(F.lit(policy).alias("policy"), F.lit("+".join(drop)).alias("dropped"), F.lit(policy_mask(policy)).alias("mask"), F.lit(left).alias("left")))
+    rows = patterns(scored).select("failed_bits", "n_docs", F.inline(F.array(*cases)))
+    kept, whole = (F.col("failed_bits").bitwiseAND(F.col(c)) == 0 for c in ("left", "mask"))
+    return rows.groupBy("policy", "dropped").agg(
+        F.sum(F.when(kept, F.col("n_docs")).otherwise(0)).alias("n_kept"),
+        F.sum(F.when(kept & ~whole, F.col("n_docs")).otherwise(0)).alias("n_more"),
+        F.bit_and(F.when(~kept, F.col("failed_bits"))).alias("all_bits"),
+        F.bit_or(F.when(~kept, F.col("failed_bits"))).alias("any_bits"),
+    )
+
+
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ablations(stored_ledger(table(spark, sf_dir, "documents")))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = ledger(table(spark, sf_dir, "documents"))
+    scored = stored_ledger(table(spark, sf_dir, "documents"), "doc_id")
     base = F.col("failed_bits").bitwiseAND(policy_mask("base")) != 0
     return scored.select(
         "doc_id",
@@ -174,7 +228,7 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-OP6_SQL = r"""
+_JUDGED = r"""
 WITH cut AS (
   SELECT row_number() OVER () AS nr, doc_id, coalesce(text, '') AS t,
          list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
@@ -202,7 +256,28 @@ WITH cut AS (
              + 16 * (word_chars > 20 * n_words)::INT + 32 * (2 * n_upper > word_chars)::INT)::INT AS failed_bits
   FROM measured
 )
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+"""
+
+OP6_SQL = _JUDGED + """SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (failed_bits & 3) <> 0 AS base_failed, (failed_bits & 15) = 0 AS kept, failed_bits
 FROM judged
 """
+
+_CASES = ", ".join(
+    f"('{policy}', '{'+'.join(drop)}', {policy_mask(policy)}, {policy_mask(policy) & ~sum(policy_bit(n) for n in drop)})"
+    for policy, tests in POLICIES.items()
+    for k in range(3)
+    for drop in combinations(tests, k)
+)
+ABLATIONS_SQL = (
+    _JUDGED
+    + f"""
+SELECT policy, dropped,
+       sum(((failed_bits & rest) = 0)::INT)::BIGINT AS n_kept,
+       sum(((failed_bits & rest) = 0 AND (failed_bits & mask) <> 0)::INT)::BIGINT AS n_more,
+       bit_and(CASE WHEN (failed_bits & rest) <> 0 THEN failed_bits END) AS all_bits,
+       bit_or(CASE WHEN (failed_bits & rest) <> 0 THEN failed_bits END) AS any_bits
+FROM judged, (VALUES {_CASES}) t(policy, dropped, mask, rest)
+GROUP BY policy, dropped
+"""
+)

@@ -11,6 +11,7 @@ QUERIES = {
     "op4_simhash": simhash.op4_simhash,
     "op5_licenses": licenses.op5_licenses,
     "op6_quality": quality.op6_quality,
+    "quality_ablations": quality.quality_ablations,
     "op7_sharding": sharding.op7_sharding,
     "op8_mixing": mixing.op8_mixing,
     "op9_substrings": substrings.op9_substrings,
@@ -19,4 +20,5 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op6_quality": quality.OP6_SQL,
+    "quality_ablations": quality.ABLATIONS_SQL,
 }

@@ -19,6 +19,8 @@ from .common import materialise, table, text_of
 
 #: Rows of a block; a power of two, so blocks follow from the row numbers.
 BLOCK_ROWS = 1 << 16
+#: Bins in which blocks are numbered.
+BINS = 1024
 
 
 def _uniform(*parts: Column) -> Column:
@@ -86,31 +88,49 @@ def _invert(t: Column, k: Column, n: Column, u: Column, r: Column) -> Column:
     )
 
 
+def _numbered(blocks: DataFrame) -> DataFrame:
+    """blocks with nr, counting from 0 without gaps: inside bins of blocks, plus the earlier bins' blocks."""
+    binned = blocks.withColumn("bin", F.pmod(F.xxhash64("block"), F.lit(BINS)))
+    held = binned.groupBy("bin").agg(F.count("*").alias("held"))
+    before = F.sum("held").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1))
+    held = held.select("bin", F.coalesce(before, F.lit(0)).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("bin").orderBy("block")) - 1
+    return binned.withColumn("inside", inside).join(held, "bin").select("block", "n", (F.col("before") + F.col("inside")).alias("nr"))
+
+
 def communication_matrix(blocks: DataFrame, shards: int, seed: int) -> DataFrame:
     """block and counts, the rows of each block for every shard.
 
-    blocks: block and n, its rows. The list of blocks (one entry for BLOCK_ROWS rows)
-    starts as one row and splits into halves, so the draws run in parallel.
+    blocks: block and n, its rows. Blocks are the leaves of a binary tree whose nodes are
+    rows (level, node, n) of a table. Going down, a node's counts are shared out to its
+    two halves, so a level's draws run in parallel and no task holds the list of blocks.
     """
-    root = blocks.agg(F.sort_array(F.collect_list(F.struct("block", "n"))).alias("blocks"), F.sum("n").alias("rows"))
-    caps = F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), lambda i: F.expr(f"rows div {shards}") + F.when(i < F.col("rows") % shards, 1).otherwise(0))
-    nodes = root.where("rows > 0").select("blocks", caps.alias("counts"))
-    share = _share(seed)
-    for level in range(max(1, math.ceil(math.log2(max(2, blocks.count()))))):
-        nodes = _halve(nodes, share)
-        if level == 6:
-            nodes = nodes.repartition(F.col("blocks")[0]["block"])
-    return nodes.select(F.col("blocks")[0]["block"].alias("block"), "counts")
-
-
-def _share(seed: int) -> Column:
-    """Of counts, what falls to the n rows of the first half of blocks."""
+    levels = math.ceil(math.log2(max(1, blocks.count())))
+    leaves = materialise(_numbered(blocks), "leaves")
+    tree = leaves.select("n", "nr", F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("level"))
+    tree = materialise(tree.groupBy("level", F.expr("shiftright(nr, level)").alias("node")).agg(F.sum("n").alias("n")), "tree")
+    caps = F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), lambda i: F.expr(f"n div {shards}") + F.when(i < F.col("n") % shards, 1).otherwise(0))
+    nodes = tree.where(F.col("level") == levels).select("node", "n", caps.alias("counts"))
+    for level in reversed(range(levels)):
+        first = tree.where((F.col("level") == level) & (F.col("node") % 2 == 0)).select(F.expr("node div 2").alias("node"), F.col("n").alias("first"))
+        cut = nodes.join(first, "node").withColumn("share", _share(seed, level))
+        halves = F.array(
+            F.struct((2 * F.col("node")).alias("node"), F.col("first").alias("n"), F.col("share").alias("counts")),
+            F.struct((2 * F.col("node") + 1).alias("node"), (F.col("n") - F.col("first")).alias("n"), F.zip_with("counts", "share", lambda c, s: c - s).alias("counts")),
+        )
+        nodes = cut.select(F.inline(halves)).where("n > 0")
+        if level % 6 == 0 and level:  # short plans, and draws spread over tasks
+            nodes = materialise(nodes.repartition("node"), "nodes")
+    return leaves.join(nodes.select(F.col("node").alias("nr"), "counts"), "nr").select("block", "counts")
+
+
+def _share(seed: int, level: int) -> Column:
+    """Of a node's counts, what falls to the first rows of its first half."""
     zero = F.lit(0).cast("long")
-    node = F.col("blocks")[0]["block"]
-    start = F.struct(F.col("all").alias("total"), F.col("n").alias("left"), zero.alias("i"), F.array().cast("array<bigint>").alias("out"))
+    start = F.struct(F.col("n").alias("total"), F.col("first").alias("left"), zero.alias("i"), F.array().cast("array<bigint>").alias("out"))
 
     def step(acc: Column, cap: Column) -> Column:
-        u = _uniform(F.lit(seed), node, F.size("blocks"), acc["i"])
+        u = _uniform(F.lit(seed), F.lit(level), F.col("node"), acc["i"])
         return _let(
             hypergeometric(acc["total"], cap, acc["left"], u),
             lambda d: F.struct(
@@ -118,26 +138,7 @@ def _share(seed: int) -> Column:
             ),
         )
 
-    return F.when(F.size("blocks") > 1, F.aggregate("counts", start, step, lambda acc: acc["out"]))
-
-
-def _halve(nodes: DataFrame, share: Column) -> DataFrame:
-    """Every node with more than one block as its two halves."""
-    add = lambda acc, x: acc + x
-    zero = F.lit(0).cast("long")
-    half = F.expr("size(blocks) div 2")
-    first = F.slice("blocks", F.lit(1), half)
-    rest = F.slice("blocks", half + 1, F.size("blocks"))
-    cut = nodes.withColumns({"first": first, "rest": rest}).withColumns(
-        {"n": F.aggregate(F.transform("first", lambda b: b["n"]), zero, add), "all": F.aggregate("counts", zero, add)}
-    )
-    cut = cut.withColumn("share", share)
-    whole = F.array(F.struct(F.col("blocks"), F.col("counts")))
-    halves = F.array(
-        F.struct(F.col("first").alias("blocks"), F.col("share").alias("counts")),
-        F.struct(F.col("rest").alias("blocks"), F.zip_with("counts", "share", lambda c, s: c - s).alias("counts")),
-    )
-    return cut.select(F.inline(F.when(F.size("blocks") > 1, halves).otherwise(whole)))
+    return F.aggregate("counts", start, step, lambda acc: acc["out"])
 
 
 def assign(df: DataFrame, shards: int, seed: int = 0) -> DataFrame:

@@ -1,6 +1,7 @@
 """Each operator against brute force on small tables with nulls, empties, ties, repeats, clashing columns."""
 
 import collections
+import functools
 import hashlib
 import re
 import zlib
@@ -158,11 +159,23 @@ def test_quality(docs, none):
     ablation = {r.rule: r for r in quality.ablate(scored).collect()}
     assert ablation["few_words"].n_failed == scored.where("n_words < 50").count()
     assert quality.apply_policy(docs).columns == docs.columns and quality.ledger(none).count() == 0
+    stored = quality.stored_ledger(docs, "doc_id", "n_words")
+    assert stored.columns == ["doc_id", *quality.MEASURED, "failed_bits"] and stored.count() == docs.count()
+    bits = [r.failed_bits for r in stored.collect()]
+    made = quality.ablations(stored, most=3).collect()
+    assert len({(r.policy, r.dropped) for r in made}) == len(made) == 4 + 15 + 42
+    for r in made:
+        left = [n for n in quality.POLICIES[r.policy] if n not in r.dropped.split("+")]
+        mask, whole = sum(map(quality.policy_bit, left)), quality.policy_mask(r.policy)
+        gone = [b for b in bits if b & mask]
+        assert r.n_kept == len(bits) - len(gone) and r.n_more == sum(not b & mask and bool(b & whole) for b in bits)
+        assert r.all_bits == (functools.reduce(int.__and__, gone) if gone else None) and r.any_bits == (functools.reduce(int.__or__, gone) if gone else None)
+    assert [r.name for r in quality.rules()] == list(quality.NAMES) and quality.ablations(quality.stored_ledger(none)).count() == 0
 
 
 def test_sharding(spark, docs, none, monkeypatch):
     monkeypatch.setattr(sharding, "BLOCK_ROWS", 16)
-    for n in (0, 1, 5, 300):
+    for n in (0, 1, 5, 300, 3000):
         placed = sharding.assign(spark.range(n).select((F.col("id") % 3).alias("id"), F.lit(1).alias("shard")), 7, seed=n).collect()
         by = collections.defaultdict(list)
         for r in placed:
