@@ -3,7 +3,9 @@
 import collections
 import functools
 import hashlib
+import math
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -236,6 +238,50 @@ def test_licenses(spark):
     assert licenses.scan(spark.createDataFrame([], "path string, text string")).count() == 0
 
 
+def test_whole_licence_files(spark):
+    """Licence files far longer than a notice stand for their directories; a long text that quotes a license does not."""
+    mit = "MIT License\n\nCopyright (c) 2020 Some One\n\n" + "\n\n".join("\n".join(textwrap.wrap(t, 70)) for t in licenses.TEMPLATES["MIT"][3:])
+    mit += "\n\n" + "\n".join(textwrap.wrap("THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY. " * 2, 70))
+    apache = "                 Apache License\n           Version 2.0, January 2004\n        http://www.apache.org/licenses/\n\n" + "\n\n".join(f"   {i}. Clause. " + PROSE for i in range(9)) + "\n\n" + licenses.TEMPLATES["Apache-2.0"][2]
+    gpl = "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n" + "\n\n".join(f"  {i}. Terms. The licensee may copy. " + PROSE for i in range(60))
+    header = "\n".join("# " + x for x in textwrap.wrap(licenses.TEMPLATES["GPL-3.0"][3], 60)) + "\n\nx = 1\n" + PROSE
+    inside = PROSE + " and more. Released under the MIT License. " + PROSE
+    rows = [("a/LICENSE", apache), ("a/x/y.py", PROSE), ("b/mit.txt", mit), ("b/z.py", ""), ("c/COPYING", gpl), ("c/d/LICENSE.md", mit), ("c/d/e/f.py", "x"), ("c/g.py", "x"), ("h/i.py", header), ("h/j.py", "x"), ("k/l.txt", inside), ("k/m.txt", "x")]
+    df = spark.createDataFrame([(*r, "own") for r in rows], "path string, text string, origin string")
+    found = {r.path: (r.license, r.origin, r.from_dir) for r in licenses.scan(df).collect()}
+    assert found == {
+        "a/LICENSE": ("Apache-2.0", "own", None), "a/x/y.py": ("Apache-2.0", "inherited", "a"),
+        "b/mit.txt": ("MIT", "own", None), "b/z.py": ("MIT", "inherited", "b"),
+        "c/COPYING": ("GPL-3.0", "own", None), "c/g.py": ("GPL-3.0", "inherited", "c"),
+        "c/d/LICENSE.md": ("MIT", "own", None), "c/d/e/f.py": ("MIT", "inherited", "c/d"),
+        "h/i.py": ("GPL-3.0", "own", None), "h/j.py": (None, "none", None),
+        "k/l.txt": ("MIT", "own", None), "k/m.txt": (None, "none", None),
+    }
+
+
+def test_licences_by_brute_force(spark):
+    """Cosines of single-line notices as Python computes them."""
+    notices = ["Licensed under the Apache License, Version 2.0.", "licensed under the apache license", "A license. Apache", "GNU General Public License v3.0", "Licensed under CC BY-NC 4.0", "under the MIT License", "copyright of nobody"]
+    terms = lambda t: [x for x in re.split(r"[^\w.]+|\.(?=\s|$)", t.lower()) if x]
+    listed = [(k, terms(t)) for k, v in licenses.TEMPLATES.items() for t in v]
+    df = collections.Counter(t for _, x in listed for t in set(x))
+    idf = lambda t: math.log((1 + len(listed)) / (1 + df[t])) + 1
+
+    def unit(words):
+        w = {t: n * idf(t) for t, n in collections.Counter(words).items()}
+        return {t: x / math.sqrt(sum(y * y for y in w.values())) for t, x in w.items()}
+
+    def best(text):
+        parts = [text, *(re.split(r"(?<=[.!?:;])\s+", text) if re.search(r"[.!?:;]\s", text) else [])]
+        at = [(round(sum(x * b.get(t, 0) for t, x in unit(terms(p)).items()), 6), k) for p in parts if re.search(licenses.NOTICE, p) for k, b in ((k, unit(x)) for k, x in listed)]
+        return max((x for x in at if x[0] >= licenses.LIKE), default=(None, None))
+
+    rows = spark.createDataFrame([(f"{i}/f", t) for i, t in enumerate(notices)], "path string, text string")
+    for r in licenses.scan(rows).collect():
+        want = best(notices[int(r.path[0])])
+        assert r.license == want[1] and (want[0] is None or abs(r.similarity - want[0]) < 2e-6), (r, want)
+
+
 def test_decontamination(spark, docs, none):
     item = " ".join(f"Item{i}" for i in range(40))
     words = item.split()
