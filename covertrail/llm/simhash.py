@@ -23,7 +23,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..scratch import stored
@@ -258,52 +258,90 @@ def _alike(a: Column, b: Column) -> Column:
 
     @F.pandas_udf("boolean")
     def run(left: pd.Series, right: pd.Series) -> pd.Series:
-        def one(x: str, y: str) -> bool:
-            x, y = shingle_hashes(x), shingle_hashes(y)
+        found, last, x = [], None, np.zeros(0, np.uint64)
+        for one, other in zip(left, right):
+            if one != last:  # a text compared with many comes in runs
+                last, x = one, shingle_hashes(one)
+            y = shingle_hashes(other)
             both = len(np.intersect1d(x, y, assume_unique=True))
-            return 100 * both >= SIMILARITY * (len(x) + len(y) - both)
-
-        return pd.Series([one(x, y) for x, y in zip(left, right)], dtype=bool)
+            found.append(100 * both >= SIMILARITY * (len(x) + len(y) - both))
+        return pd.Series(found, dtype=bool)
 
     return run(a, b)
 
 
-def _verified(pairs: DataFrame, prints: DataFrame, docs: DataFrame, text: str) -> DataFrame:
-    """The pairs (a, b) of prints whose texts are alike."""
-    ends = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "whole")
-    needed = materialise(ends.join(prints, "whole").select("whole", F.col("best._hash").alias("_hash")), "needed")
+def _grams(text: Column) -> Column:
+    """shingle_hashes() of a column, as signed longs."""
+
+    @F.pandas_udf("array<long>")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([shingle_hashes(t).view(np.int64) for t in texts])
+
+    return run(text)
+
+
+def _fits(n: Column, m: Column) -> Column:
+    """Whether sets of n and m shingles can be alike at all."""
+    return 100 * F.least(n, m) >= SIMILARITY * F.greatest(n, m)
+
+
+def _texts(wholes: DataFrame, prints: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """whole and one text t for each of wholes."""
+    needed = materialise(wholes.join(prints, "whole").select("whole", F.col("best._hash").alias("_hash")), "needed")
     if needed.count() <= BROADCAST_TEXTS:  # else all texts would be shuffled to find these
         needed = F.broadcast(needed)
     texts = docs.select(F.xxhash64(text_of(text)).alias("_hash"), text_of(text).alias("t")).join(needed, "_hash").dropDuplicates(["whole"])
-    texts = materialise(texts.select("whole", "t"), "texts")
+    return materialise(texts.select("whole", "t"), "texts")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose texts are alike."""
     both = pairs.join(texts.withColumnsRenamed({"whole": "a", "t": "x"}), "a").join(texts.withColumnsRenamed({"whole": "b", "t": "y"}), "b")
     return materialise(both.where(_alike(F.col("x"), F.col("y"))).select("a", "b"), "alike")
 
 
+def _rare_pairs(tangled: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of tangled (whole, n, root) that may be alike, have other roots and share a rare shingle.
+
+    A text's shingles are put in order of frequency, rarest first. Of alike sets of n
+    and m the first shared shingle stands early enough in both, at places i and j, that
+    what follows can still hold SIMILARITY: that is exact, no alike pair is lost. What
+    many texts have in common stands last and joins nothing.
+    """
+    grams = materialise(texts.join(tangled, "whole").select("whole", "n", "root", F.explode(_grams(F.col("t"))).alias("gram")), "grams")
+    counts = grams.groupBy("gram").agg(F.count("*").alias("often"))
+    placed = grams.join(counts, "gram").withColumn("place", F.row_number().over(Window.partitionBy("whole").orderBy("often", "gram")))
+    early = materialise(placed.where((100 * (F.col("place") - 1) <= (100 - SIMILARITY) * F.col("n")) & (F.col("often") > 1)).drop("often"), "early")
+    other = early.select("gram", F.col("whole").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"), F.col("place").alias("at"))
+    left = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("at")) + 1
+    room = (100 + SIMILARITY) * left >= SIMILARITY * (F.col("n") + F.col("m"))
+    met = early.join(other, "gram").where((F.col("whole") < F.col("b")) & (F.col("root") != F.col("other")) & _fits(F.col("n"), F.col("m")) & room)
+    return met.select(F.col("whole").alias("a"), "b").distinct()
+
+
 def copies(prints: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     """node and root of components() over all pairs of prints (whole, n, keys, best) that are alike.
 
     Prints with an equal band are compared: at SIMILARITY itself 3 pairs in a million
-    have none. In a band all are first compared with one; then only those that this has
-    left in different components are paired, so groups of true copies stay linear.
+    have none. In a band all are first compared with one, so groups of true copies stay
+    linear. Prints of bands that this has left in different components are then paired
+    where they share a rare shingle, never all with all.
     """
-    fits = lambda n, m: 100 * F.least(n, m) >= SIMILARITY * F.greatest(n, m)
     keys = prints.select("whole", "n", F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.min("whole").alias("first"), F.max("whole").alias("last"), F.min_by("n", "whole").alias("m")).where("first != last").drop("last")
     members = materialise(keys.join(materialise(shared, "shared"), "key"), "members")
-    tried = materialise(members.where((F.col("whole") != F.col("first")) & fits(F.col("n"), F.col("m"))).select(F.col("first").alias("a"), F.col("whole").alias("b")).distinct(), "pairs")
-    alike = _verified(tried, prints, docs, text)
+    tried = members.where((F.col("whole") != F.col("first")) & _fits(F.col("n"), F.col("m"))).select(F.col("first").alias("a"), F.col("whole").alias("b"))
+    tried = materialise(tried.distinct(), "pairs")
+    ends = tried.select("a").union(tried.select("b")).distinct().withColumnRenamed("a", "whole")
+    alike = _verified(tried, _texts(ends, prints, docs, text))
 
     roots = components(alike).withColumnRenamed("node", "whole")
     rooted = materialise(members.join(roots, "whole", "left").select("key", "whole", "n", F.coalesce("root", "whole").alias("root")), "rooted")
-    sizes = rooted.groupBy("key", "root").agg(F.count("*").alias("size"))
-    mixed = sizes.groupBy("key").agg(F.max(F.struct("size", "root"))["root"].alias("top"), F.count("*").alias("roots")).where("roots > 1").drop("roots")
-    rooted = materialise(rooted.join(mixed, "key"), "mixed")
-    rest = rooted.where("root != top").select("key", F.col("whole").alias("a"), F.col("n").alias("m"), F.col("root").alias("other"))
-    met = rest.join(rooted, "key").where((F.col("root") != F.col("other")) & ((F.col("root") == F.col("top")) | (F.col("a") < F.col("whole"))) & fits(F.col("n"), F.col("m")))
-    pairs = met.select(F.least("a", "whole").alias("a"), F.greatest("a", "whole").alias("b")).distinct()
-    pairs = materialise(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-    return components(alike.unionByName(_verified(pairs, prints, docs, text)))
+    mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("key")
+    tangled = materialise(rooted.join(mixed, "key").select("whole", "n", "root").distinct(), "tangled")
+    texts = _texts(tangled.select("whole"), prints, docs, text)
+    pairs = materialise(_rare_pairs(tangled, texts).join(tried, ["a", "b"], "left_anti"), "pairs")
+    return components(alike.unionByName(_verified(pairs, texts)))
 
 
 def dedup(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
