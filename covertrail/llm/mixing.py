@@ -13,7 +13,7 @@ bound by the driver. Each round is written to scratch, which keeps plans short.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..scratch import stored
@@ -22,7 +22,7 @@ from .common import materialise, table, text_of, words_of
 DIMENSIONS = ("source", "lang", "topic")
 ROUNDS = 25
 TOLERANCE = 1e-4
-#: Cells (some 100 bytes each) that are broadcast to the documents; more are joined by shuffle.
+#: Cells (some 100 bytes each) that are raked in one partition and broadcast to the documents; more are shuffled.
 BROADCAST_CELLS = 100_000
 
 
@@ -59,6 +59,21 @@ def _goals(cells: DataFrame, targets: dict[str, float | dict[str, float]]) -> di
     return {d: stored(_smoothed(cells, d, t) if isinstance(t, float) else _listed(cells, d, t), "goals") for d, t in targets.items()}
 
 
+def _with_sums(rated: DataFrame, dim: str, few: bool) -> DataFrame:
+    """rated with the tokens that a value's cells hold at probability 1 (full) and expect below it (free).
+
+    Few cells stand in one partition and need no exchange; many are summed in part first.
+    """
+    held = F.col("probability") >= 1
+    sums = {
+        "full": F.sum(F.when(held, F.col("tokens")).otherwise(0)),
+        "free": F.sum(F.when(held, 0.0).otherwise(F.col("probability") * F.col("tokens"))),
+    }
+    if few:
+        return rated.withColumns({name: total.over(Window.partitionBy(dim)) for name, total in sums.items()})
+    return rated.join(rated.groupBy(dim).agg(*(total.alias(name) for name, total in sums.items())), dim)
+
+
 def rake(cells: DataFrame, targets: dict[str, float | dict[str, float]], share: float = 1.0) -> DataFrame:
     """cells (dimensions, tokens) with probability, at most 1, whose expected tokens meet the targets.
 
@@ -73,21 +88,26 @@ def rake(cells: DataFrame, targets: dict[str, float | dict[str, float]], share:
     for dim, goal in goals.items():
         held = cells.groupBy(dim).agg(F.sum("tokens").alias("held")).join(goal.where("share > 0"), dim)
         share = min(share, held.agg(F.min(F.col("held") / (F.col("share") * max(total, 1)))).first()[0] or share)
-    rated = cells.withColumn("probability", F.lit(share).cast("double"))
+    few = cells.count() <= BROADCAST_CELLS
+    rated = cells
+    for dim, goal in goals.items():
+        rated = rated.join(goal.select(dim, (F.col("share") * share * total).alias(f"goal_{dim}")), dim)
+    rated = stored(rated.withColumn("probability", F.lit(share).cast("double")), "raked")
     for _ in range(ROUNDS):
-        for dim, goal in goals.items():
-            full = F.col("probability") >= 1
-            now = rated.groupBy(dim).agg(F.sum(F.when(full, F.col("tokens")).otherwise(0)).alias("full"), F.sum(F.when(full, 0.0).otherwise(F.col("probability") * F.col("tokens"))).alias("free"))
-            now = now.join(goal, dim).withColumns({"all": F.col("full") + F.col("free"), "goal": F.col("share") * share * total})
-            scale = F.when(F.col("all") > F.col("goal"), F.try_divide("goal", "all")).otherwise(F.try_divide(F.col("goal") - F.col("full"), "free"))
-            off = F.abs(F.try_divide("all", "goal") - 1)
-            rated = rated.join(now.select(dim, F.coalesce(scale, F.lit(1.0)).alias("scale"), F.coalesce(off, F.lit(0.0)).alias(f"off_{dim}")), dim)
-            rated = rated.withColumn("probability", F.least(F.lit(1.0), F.col("probability") * F.col("scale"))).drop("scale")
+        rated = rated.coalesce(1) if few else rated
+        for dim in goals:
+            everything, goal = F.col("full") + F.col("free"), F.col(f"goal_{dim}")
+            scale = F.when(everything > goal, F.try_divide(goal, everything)).otherwise(F.try_divide(goal - F.col("full"), F.col("free")))
+            off = F.abs(F.try_divide(everything, goal) - 1)
+            probability = F.least(F.lit(1.0), F.col("probability") * F.coalesce(scale, F.lit(1.0)))
+            rated = _with_sums(rated, dim, few).withColumns({f"off_{dim}": F.coalesce(off, F.lit(0.0)), "probability": probability}).drop("full", "free")
         worst = F.greatest(*(F.col(f"off_{d}") for d in goals), F.lit(0.0))
-        rated = stored(rated.select(*cells.columns, "probability", worst.alias("off")), "raked")
-        if (rated.agg(F.max("off")).first()[0] or 0.0) <= TOLERANCE:
+        rated = stored(rated.withColumn("off", worst).drop(*(f"off_{d}" for d in goals)), "raked")
+        off = rated.coalesce(1) if few else rated
+        if (off.agg(F.max("off")).first()[0] or 0.0) <= TOLERANCE:
             break
-    return rated.drop("off")
+        rated = rated.drop("off")
+    return rated.select(*cells.columns, "probability")
 
 
 def marginals(rated: DataFrame, targets: dict[str, float | dict[str, float]]) -> DataFrame:
