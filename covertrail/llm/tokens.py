@@ -47,14 +47,14 @@ _MARKS = [b".", b",", b";", b":", b"!", b"?"]
 _PLAIN = re.compile(rb"[ \n](?:[A-Za-z]|\xC3[\x80-\x96\x98-\xB6\xB8-\xBF]|[\xC4-\xC8][\x80-\xBF]|\xC9[\x80-\x8F])+[.,;:!?]?")
 
 
-def _alphabet() -> dict[int, str]:
-    """The characters by which byte-level vocabularies write bytes; 0 becomes a space."""
+def byte_letters() -> dict[int, str]:
+    """The characters by which byte-level vocabularies write bytes."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in set(shown)]
-    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)} | {0: " "}
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-_ALPHABET = _alphabet()
+_ALPHABET = byte_letters() | {0: " "}
 _LENGTHS = np.array([[(byte >> 2 * i & 3) + 1 for i in range(4)] for byte in range(256)], np.uint8)
 _AT = np.arange(4, dtype=np.uint8)
 
