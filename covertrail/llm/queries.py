@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, licenses, mixing, quality, secrets, sharding, simhash, substrings, tokens
+from . import bpe, chat, decontaminate, licenses, mixing, quality, repair, secrets, sharding, simhash, spelling, substrings, tokens
 
 QUERIES = {
     "op1_secrets": secrets.op1_secrets,
@@ -16,6 +16,8 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_substrings": substrings.op9_substrings,
     "op10_decontaminate": decontaminate.op10_decontaminate,
+    "op11_repair": repair.op11_repair,
+    "op12_spelling": spelling.op12_spelling,
     "op13_bpe": bpe.op13_bpe,
 }
 
