@@ -60,7 +60,7 @@ def binned(rows: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def packed(rows: DataFrame, picked: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
-    """Blocks of binned rows (group, id, label, bins, perhaps fold), dealt by a hash of the id.
+    """Blocks of binned rows (group, id, label, bins, perhaps fold), dealt by a hash of the id and written once.
 
     label is the place of the class among the classes (-1: unknown). picked (group, picked)
     lists the features that a group's trees may use, by their places; all without it.
@@ -70,8 +70,8 @@ def packed(rows: DataFrame, picked: DataFrame | None = None, block: int = BLOCK)
     row = F.struct(F.col("id").cast("long").alias("id"), F.col("label").cast("int").alias("label"), fold.cast("int").alias("fold"), "bins")
     dealt = rows.join(sizes, "group").groupBy("group", F.pmod(F.xxhash64("id"), "_blocks").alias("block")).agg(F.collect_list(row).alias("rows"))
     if picked is None:
-        return dealt.withColumn("picked", F.lit(None).cast("array<int>"))
-    return dealt.join(picked.select("group", F.col("picked").cast("array<int>").alias("picked")), "group")
+        return stored(dealt.withColumn("picked", F.lit(None).cast("array<int>")), "blocks")
+    return stored(dealt.join(picked.select("group", F.col("picked").cast("array<int>").alias("picked")), "group"), "blocks")
 
 
 class _Block:
