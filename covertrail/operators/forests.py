@@ -5,7 +5,8 @@ packed into blocks of samples of one group. A level of all trees of all groups i
 each task walks its blocks through the splits found so far and sums up histograms in
 numpy; SQL adds the histograms and chooses the splits. Blocks bound what a task holds, so
 a group of any size is dealt over tasks, and no sample, histogram or model passes through
-the driver. Sums are integers, so results do not depend on how rows were dealt.
+the driver. A group whose samples make one block needs no exchange: its task grows whole
+trees, by the same rule. Sums are integers, so results do not depend on how rows were dealt.
 
 A tree's nodes are numbered as a heap: 1 is the root, 2k and 2k + 1 are the children of k;
 rows whose bin is at most the cut go to 2k.
@@ -13,7 +14,8 @@ rows whose bin is at most the cut go to 2k.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+import math
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import reduce
 
 import numpy as np
@@ -62,13 +64,13 @@ def binned(rows: DataFrame, edges: DataFrame) -> DataFrame:
 def packed(rows: DataFrame, picked: DataFrame | None = None, block: int = BLOCK) -> DataFrame:
     """Blocks of binned rows (group, id, label, bins, perhaps fold), dealt by a hash of the id and written once.
 
-    label is the place of the class among the classes (-1: unknown). picked (group, picked)
+    of is the number of the group's blocks; label is the place of the class among the classes (-1: unknown). picked (group, picked)
     lists the features that a group's trees may use, by their places; all without it.
     """
     sizes = rows.groupBy("group").agg(F.ceil(F.count("*") / block).alias("_blocks"))
     fold = F.col("fold") if "fold" in rows.columns else F.lit(-1)
     row = F.struct(F.col("id").cast("long").alias("id"), F.col("label").cast("int").alias("label"), fold.cast("int").alias("fold"), "bins")
-    dealt = rows.join(sizes, "group").groupBy("group", F.pmod(F.xxhash64("id"), "_blocks").alias("block")).agg(F.collect_list(row).alias("rows"))
+    dealt = rows.join(sizes, "group").groupBy("group", F.pmod(F.xxhash64("id"), "_blocks").alias("block")).agg(F.collect_list(row).alias("rows"), F.max("_blocks").alias("of"))
     if picked is None:
         return stored(dealt.withColumn("picked", F.lit(None).cast("array<int>")), "blocks")
     return stored(dealt.join(picked.select("group", F.col("picked").cast("array<int>").alias("picked")), "group"), "blocks")
@@ -130,6 +132,62 @@ def asked_features(picked: np.ndarray, tree: int, node: int, per_split: int, see
     return np.sort(picked[np.argsort(order, kind="stable")[:per_split]])
 
 
+def _histogram(bins: np.ndarray, node: np.ndarray, asked: Callable[[int], np.ndarray], labels: np.ndarray | None, weights: Sequence[np.ndarray], width: int) -> tuple[np.ndarray, ...]:
+    """Nodes, their features [node, place], n [node, place, bin] and sums [node, place, bin, width] of rows: counts of labels or sums of weights."""
+    distinct, of = np.unique(node, return_inverse=True)
+    listed = np.stack([asked(int(v)) for v in distinct])
+    m, top = listed.shape[1], int(bins.max(initial=0)) + 1
+    code = (of[:, None] * m + np.arange(m)) * top + bins[np.arange(len(bins))[:, None], listed[of]]
+    shape = (len(distinct), m, top)
+    if labels is not None:
+        sums = np.bincount((code * width + labels[:, None]).ravel(), minlength=math.prod(shape) * width).reshape(*shape, width)
+        return distinct, listed, sums.sum(axis=3), sums
+    code = code.ravel()
+    n = np.bincount(code, minlength=math.prod(shape)).reshape(shape)
+    sums = [np.bincount(code, np.repeat(w, m), math.prod(shape)).astype(np.int64).reshape(shape) for w in weights]
+    return distinct, listed, n, np.stack(sums, axis=3)
+
+
+def _best(listed: np.ndarray, n: np.ndarray, sums: np.ndarray, leaf: int, scored: int | None = None) -> tuple[np.ndarray, ...]:
+    """What choose_splits() says of each node of a whole histogram: feature (-1: none), cut, n, s, left n, left s."""
+
+    def score(n: np.ndarray, s: np.ndarray) -> np.ndarray:
+        squares = [s[..., k].astype(float) * s[..., k] for k in range(s.shape[-1])[:scored]]
+        return reduce(lambda a, b: a + b, squares) / np.maximum(n, 1)
+
+    left_n, left_s = n.cumsum(axis=2), sums.cumsum(axis=2)
+    all_n, all_s = left_n[:, :, -1:], left_s[:, :, -1:]
+    gain = score(left_n, left_s) + score(all_n - left_n, all_s - left_s) - score(all_n, all_s)
+    allowed = (left_n >= leaf) & (all_n - left_n >= leaf) & (gain > 1e-9)
+    gain = np.where(allowed, gain, -1.0).reshape(len(n), -1)
+    best, rows = gain.argmax(axis=1), np.arange(len(n))
+    place, cut = best // n.shape[2], best % n.shape[2]
+    feature = np.where(gain[rows, best] > 0, listed[rows, place], -1)
+    return feature, np.where(feature >= 0, cut, -1), all_n[:, 0, 0], all_s[:, 0, 0], left_n[rows, place, cut], left_s[rows, place, cut]
+
+
+def _grow_here(bins: np.ndarray, asked: Callable[[int], np.ndarray], labels: np.ndarray | None, weights: Sequence[np.ndarray], width: int, leaf: int, depth: int, scored: int | None = None) -> tuple[np.ndarray, ...]:
+    """A tree of rows that are all in this task: node, feature, cut (-1 in leaves), n, s."""
+    node, found, kept = np.ones(len(bins), np.int64), [], np.arange(len(bins))
+    for level in range(depth):
+        if not len(kept):
+            break
+        part = [w[kept] for w in weights]
+        distinct, listed, n, sums = _histogram(bins[kept], node[kept], asked, None if labels is None else labels[kept], part, width)
+        feature, cut, n, s, left_n, left_s = _best(listed, n, sums, leaf, scored)
+        found.append((distinct, feature, cut, n, s))
+        split = feature >= 0
+        if level == depth - 1:
+            none = np.full(int(split.sum()), -1)
+            found.append((2 * distinct[split], none, none, left_n[split], left_s[split]))
+            found.append((2 * distinct[split] + 1, none, none, (n - left_n)[split], (s - left_s)[split]))
+        at = np.searchsorted(distinct, node[kept])
+        goes = feature[at] >= 0
+        kept, at = kept[goes], at[goes]
+        node[kept] = 2 * node[kept] + (bins[kept, feature[at]] > cut[at])
+    return tuple(map(np.concatenate, zip(*found)))
+
+
 _CELLS = "group string, tree int, node int, feature int, bin int, n long, s array<bigint>"
 
 
@@ -226,28 +284,48 @@ def class_histograms(blocks: DataFrame, nodes: DataFrame | None, level: int, cla
                     rows, node = rows[node >> level > 0], node[node >> level > 0]
                     if not len(rows) or not len(block.picked):
                         continue
-                    distinct, of = np.unique(node, return_inverse=True)
-                    asked = np.stack([asked_features(block.picked, tree, int(v), per_split, seed) for v in distinct])
-                    m, top = asked.shape[1], int(block.bins.max()) + 1
-                    code = (of[:, None] * m + np.arange(m)) * top + block.bins[rows[:, None], asked[of]]
-                    code = code * classes + block.labels[rows][:, None]
-                    counts = np.bincount(code.ravel(), minlength=len(distinct) * m * top * classes).reshape(len(distinct), m, top, classes)
-                    v, f, b = np.nonzero(counts.sum(axis=3))
-                    sums = counts[v, f, b]
-                    parts.append((np.full(len(v), tree), distinct[v], asked[v, f], b, sums.sum(axis=1), sums))
+                    asked = lambda v: asked_features(block.picked, tree, v, per_split, seed)  # noqa: B023, E731
+                    distinct, listed, n, sums = _histogram(block.bins[rows], node, asked, block.labels[rows], (), classes)
+                    v, f, b = np.nonzero(n)
+                    parts.append((np.full(len(v), tree), distinct[v], listed[v, f], b, n[v, f, b], sums[v, f, b]))
                 yield _cells(group, parts, classes)
 
     return given.select("group", "rows", "picked", "splits").mapInArrow(run, _CELLS)
 
 
+def _whole_forests(blocks: DataFrame, classes: int, trees: int, per_split: int, leaf: int, bag: float, depth: int, seed: int) -> DataFrame:
+    """The forests of groups that have one block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                block, group, parts = _Block(batch, at), batch.column("group")[at].as_py(), []
+                for tree in range(trees):
+                    rows = np.flatnonzero(in_bag(block.ids, tree, bag, seed) & (block.labels >= 0))
+                    if len(rows) and len(block.picked):
+                        asked = lambda v: asked_features(block.picked, tree, v, per_split, seed)  # noqa: B023, E731
+                        node, feature, cut, n, s = _grow_here(block.bins[rows], asked, block.labels[rows], (), classes, leaf, depth)
+                        parts.append((np.full(len(node), tree), node, feature, cut, n, s))
+                yield _cells(group, parts, classes)
+
+    made = blocks.select("group", "rows", "picked").mapInArrow(run, _CELLS)
+    real = lambda c: F.when(F.col("feature") >= 0, F.col(c))
+    return made.select(*_NODE, real("feature").alias("feature"), real("bin").alias("cut"), "n", "s")
+
+
 def grow_forest(blocks: DataFrame, classes: int, trees: int = 165, per_split: int = 15, leaf: int = 40, bag: float = 0.8, depth: int = 10, seed: int = 0) -> DataFrame:
     """A forest for each group: group, tree, node, feature, cut (null in leaves), n and s (rows by class).
 
-    As many jobs as levels, whatever the number of groups and trees. A group without known
-    labels has no nodes.
+    Groups of one block are grown in one job, each in its task. The others take as many
+    jobs as levels, whatever the number of groups and trees. The trees are the same either
+    way. A group without known labels has no nodes.
     """
-    level_nodes = lambda level, nodes: choose_splits(class_histograms(blocks, nodes, level, classes, trees, per_split, bag, seed), classes, leaf)
-    return _grown(level_nodes, depth)
+    whole = stored(_whole_forests(blocks.where("of = 1"), classes, trees, per_split, leaf, bag, depth, seed), "forests")
+    large = blocks.where("of > 1")
+    if large.isEmpty():
+        return whole
+    level_nodes = lambda level, nodes: choose_splits(class_histograms(large, nodes, level, classes, trees, per_split, bag, seed), classes, leaf)
+    return whole.unionByName(_grown(level_nodes, depth))
 
 
 def classify(blocks: DataFrame, forest: DataFrame, classes: int, trees: int, depth: int = 10) -> DataFrame:
@@ -317,6 +395,10 @@ class _Scored(_Block):
             setting, k = divmod(slot, self.classes)
             self.scores[:, setting, k] += values[slot, _walk(self.bins, features[slot], cuts[slot], self.depth)]
 
+    def seen(self, setting: int, number: int, bag: float, seed: int) -> np.ndarray:
+        """Which rows the trees of a round are fitted to."""
+        return in_bag(self.ids, number, bag, seed) & (self.folds != self.held[setting]) & (self.labels >= 0)
+
     def residuals(self, setting: int) -> np.ndarray:
         score = self.scores[:, setting]
         share = np.exp(score - score.max(axis=1, keepdims=True))
@@ -324,7 +406,14 @@ class _Scored(_Block):
         return (self.labels[:, None] == np.arange(self.classes)) - share
 
 
+def _gradients(r: np.ndarray) -> list[np.ndarray]:
+    """What leaves sum up, in whole units."""
+    return [np.rint(x * _UNIT) for x in (r, np.abs(r) * (1 - np.abs(r)))]
+
+
 _RECENT = "array<struct<round:int,nodes:array<struct<tree:int,node:int,feature:int,cut:int,s0:bigint,s1:bigint,l0:bigint,l1:bigint>>>>"
+#: What scored blocks keep.
+_KEPT = ["group", "block", "rows", "picked", "settings"]
 #: The levels of one round's trees.
 Round = list[DataFrame]
 
@@ -351,13 +440,12 @@ def residual_histograms(blocks: DataFrame, rounds: Sequence[Round], nodes: DataF
         for batch in batches:
             for at in range(batch.num_rows):
                 block, group = _Scored(batch, at, classes, depth), batch.column("group")[at].as_py()
-                slots, parts, top = len(block.rates) * classes, [], int(block.bins.max(initial=0)) + 1
+                slots, parts = len(block.rates) * classes, []
                 features, cuts = _table(batch.column("splits")[at], slots, level, ("feature", -1), ("cut", -1))
-                m = len(block.picked)
                 for setting in range(len(block.rates)):
-                    if block.trees[setting] <= number or not m:
+                    if block.trees[setting] <= number or not len(block.picked):
                         continue
-                    seen = in_bag(block.ids, number, bag, seed) & (block.folds != block.held[setting]) & (block.labels >= 0)
+                    seen = block.seen(setting, number, bag, seed)
                     residuals = block.residuals(setting)
                     for k in range(classes):
                         slot = setting * classes + k
@@ -366,15 +454,9 @@ def residual_histograms(blocks: DataFrame, rounds: Sequence[Round], nodes: DataF
                         rows, node = rows[node >> level > 0], node[node >> level > 0]
                         if not len(rows):
                             continue
-                        distinct, of = np.unique(node, return_inverse=True)
-                        code = ((of[:, None] * m + np.arange(m)) * top + block.bins[rows[:, None], block.picked]).ravel()
-                        r = residuals[rows, k]
-                        size = len(distinct) * m * top
-                        n = np.bincount(code, minlength=size)
-                        sums = [np.bincount(code, np.repeat(np.rint(x * _UNIT), m), size) for x in (r, np.abs(r) * (1 - np.abs(r)))]
-                        held = np.flatnonzero(n)
-                        v, f, b = held // top // m, held // top % m, held % top
-                        parts.append((np.full(len(held), slot), distinct[v], block.picked[f], b, n[held], np.stack(sums, axis=1)[held]))
+                        distinct, listed, n, sums = _histogram(block.bins[rows], node, lambda _: block.picked, None, _gradients(residuals[rows, k]), 2)  # noqa: B023
+                        v, f, b = np.nonzero(n)
+                        parts.append((np.full(len(v), slot), distinct[v], listed[v, f], b, n[v, f, b], sums[v, f, b]))
                 yield _cells(group, parts, 2)
 
     return given.select("group", "rows", "picked", "settings", "scores", "recent", "splits").mapInArrow(run, _CELLS)
@@ -386,36 +468,70 @@ def scored(blocks: DataFrame, rounds: Sequence[Round], classes: int, depth: int)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores = pa.array([_Scored(batch, at, classes, depth).scores.ravel() for at in range(batch.num_rows)], pa.list_(pa.float64()))
-            kept = [batch.column(c) for c in ("group", "block", "rows", "picked", "settings")]
-            yield pa.RecordBatch.from_arrays([*kept, scores], names=["group", "block", "rows", "picked", "settings", "scores"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in _KEPT), scores], names=[*_KEPT, "scores"])
+
+    kinds = ", ".join(f"{c} {blocks.schema[c].dataType.simpleString()}" for c in [*_KEPT, "scores"])
+    return _with_rounds(blocks, rounds).select(*_KEPT, "scores", "recent").mapInArrow(run, kinds)
 
-    columns = ["group", "block", "rows", "picked", "settings", "scores"]
-    kinds = ", ".join(f"{c} {blocks.schema[c].dataType.simpleString()}" for c in columns)
-    return _with_rounds(blocks, rounds).select(*columns, "recent").mapInArrow(run, kinds)
+
+def _whole_boosting(blocks: DataFrame, classes: int, rounds: int, depth: int, leaf: int, bag: float, seed: int, stages: Iterable[int]) -> DataFrame:
+    """Scored blocks of groups that have one block, with stage: the number of rounds that the scores hold."""
+    wanted = {*stages, rounds}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                block, row = _Scored(batch, at, classes, depth), batch.slice(at, 1)
+                for number in range(rounds):
+                    for setting in np.flatnonzero(block.trees > number):
+                        rows = np.flatnonzero(block.seen(setting, number, bag, seed))
+                        if not len(rows) or not len(block.picked):
+                            continue
+                        residuals, steps = block.residuals(setting), []
+                        for k in range(classes):
+                            node, feature, cut, _, s = _grow_here(block.bins[rows], lambda _: block.picked, None, _gradients(residuals[rows, k]), 2, leaf, depth, 1)  # noqa: B023
+                            features, cuts, values = np.full(2 << depth, -1), np.full(2 << depth, -1), np.zeros(2 << depth)
+                            features[node], cuts[node] = feature, cut
+                            values[node] = np.where(s[:, 1] > 0, block.rates[setting] * ((classes - 1) / classes) * s[:, 0] / np.maximum(s[:, 1], 1), 0.0)
+                            steps.append(values[_walk(block.bins, features, cuts, depth)])
+                        block.scores[:, setting] += np.stack(steps, axis=1)
+                    if number + 1 in wanted:
+                        scores = pa.array([block.scores.ravel()], pa.list_(pa.float64()))
+                        yield pa.RecordBatch.from_arrays([*(row.column(c) for c in _KEPT), scores, pa.array([number + 1], pa.int32())], names=[*_KEPT, "scores", "stage"])
+
+    kinds = ", ".join(f"{c} {blocks.schema[c].dataType.simpleString()}" for c in [*_KEPT, "scores"])
+    return _with_rounds(blocks, []).select(*_KEPT, "scores", "recent").mapInArrow(run, f"{kinds}, stage int")
 
 
 def boost(blocks: DataFrame, classes: int, rounds: int, depth: int = 2, leaf: int = 20, bag: float = 0.8, seed: int = 0, stages: Iterable[int] = (), keep: int = 8) -> tuple[DataFrame, dict[int, DataFrame]]:
     """Multiclass boosting of all settings of all groups: scored blocks, and those after each of the stages (numbers of rounds).
 
     A round is one tree for each class, fitted by least squares to the residuals of the
-    softmax of the scores.
-    depth jobs a round, whatever the number of groups, settings and classes. Scores are
-    written every `keep` rounds and at stages; between, they are worked out in the tasks.
+    softmax of the scores. Groups of one block are boosted in one job, each in its task.
+    The others take `depth` jobs a round, whatever the number of groups, settings and
+    classes; their scores are written every `keep` rounds and at stages, and worked out in
+    the tasks between. The models are the same either way.
     """
     recent: list[Round] = []
-    staged, last = {}, set(stages)
+    staged, last = {}, {*stages}
+    whole = stored(_whole_boosting(blocks.where("of = 1"), classes, rounds, depth, leaf, bag, seed, last), "boosted")
+    of = lambda stage: whole.where(F.col("stage") == stage).drop("stage")
+    large = blocks.where("of > 1")
+    if large.isEmpty():
+        return of(rounds), {n: of(n) for n in last}
+    large = large.select(*_KEPT, "scores")
     for number in range(rounds):
         levels: Round = []
         for level in range(depth):
             nodes = reduce(DataFrame.unionByName, levels) if levels else None
-            cells = residual_histograms(blocks, recent, nodes, number, level, classes, depth, bag, seed)
+            cells = residual_histograms(large, recent, nodes, number, level, classes, depth, bag, seed)
             levels.append(stored(choose_splits(cells, 2, leaf, scored=1), "boosted"))
         recent.append(levels)
         if number + 1 in last or len(recent) == keep or number + 1 == rounds:
-            blocks, recent = stored(scored(blocks, recent, classes, depth), "scored"), []
+            large, recent = stored(scored(large, recent, classes, depth), "scored"), []
         if number + 1 in last:
-            staged[number + 1] = blocks
-    return blocks, staged
+            staged[number + 1] = large.unionByName(of(number + 1))
+    return large.unionByName(of(rounds)), staged
 
 
 def best_classes(blocks: DataFrame, classes: int) -> DataFrame:

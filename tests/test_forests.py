@@ -80,7 +80,7 @@ def leaf_of(nodes, bins):
     return node
 
 
-@pytest.mark.parametrize("block", [16, 4096])
+@pytest.mark.parametrize("block", [16, 150, 4096])
 def test_forest(spark, rows, samples, block):
     trees, per_split, leaf, bag, depth = 6, 2, 4, 0.7, 4
     picked = spark.createDataFrame([(g, p) for g, p in PICKED.items()], "group string, picked array<int>")
@@ -117,12 +117,13 @@ def test_bags_and_features_differ():
     assert len(set(asked)) > 45 and all(len(a) == 5 for a in asked) and len({f for a in asked for f in a}) == 30
 
 
-def test_boosting(spark, rows, samples):
+@pytest.mark.parametrize("block", [64, 120, 4096])
+def test_boosting(spark, rows, samples, block):
     """Two settings a group, softmax rounds, trees and rates of their own, one without fold 1: against loops over rows."""
     settings = [("a:1", 0, 0.3, 3, None), ("a:1", 1, 0.5, 2, 1), ("a:2", 0, 0.1, 3, 0)]
     depth, leaf, bag = 2, 5, 0.8
     edges = forests.equal_width(samples, BINS)
-    blocks = forests.with_settings(forests.packed(forests.binned(samples, edges), block=64), spark.createDataFrame(settings, "group string, setting int, rate double, trees int, held int"))
+    blocks = forests.with_settings(forests.packed(forests.binned(samples, edges), block=block), spark.createDataFrame(settings, "group string, setting int, rate double, trees int, held int"))
     done, staged = forests.boost(blocks, CLASSES, 3, depth, leaf, bag, seed=1, stages=(2,), keep=2)
     found = {(r.group, r.setting, r.id): (r.prediction, r.prob) for r in forests.best_classes(done, CLASSES).collect()}
     early = {(r.group, r.setting, r.id): (r.prediction, r.prob) for r in forests.best_classes(staged[2], CLASSES).collect()}
