@@ -78,8 +78,9 @@ INDICES: dict[str, tuple[Callable[[Bands], Column], int]] = {
     "spri": (_spri, 1),
     "co2flux": (lambda s: _difference(s.N, s.S2) * _spri(s), 1),
 }
-#: The indices that the feature tables hold.
-PACK = ("ratio", "rvi", "ndwi", "awei", "iia", "evi", "gcvi", "gemi", "cvi", "gli", "shape", "afvi", "avi", "bsi", "brba", "dswi5", "lswi", "mbi", "ui", "osavi", "ri", "brightness", "wetness", "gvmi")
+#: The indices of the band list that samples are collected with. The list's two
+#: textures, the contrast of near infrared and red, are neighbourhood operations: spatial.contrast().
+PACK = ("ratio", "rvi", "ndwi", "awei", "iia", "gcvi", "gemi", "cvi", "gli", "shape", "afvi", "avi", "bsi", "brba", "dswi5", "lswi", "mbi", "ui", "osavi", "ri", "brightness", "wetness")
 
 
 def bands(season: str = "annual") -> Bands:

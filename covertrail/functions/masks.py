@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -56,10 +56,14 @@ def binarize(col: Column, cls: int) -> Column:
 
 
 def to_unsigned(col: Column, bits: int) -> Column:
-    """Cast that truncates towards zero and clamps to the unsigned range."""
-    zero, most = F.lit(0).cast("long"), F.lit(2**bits - 1).cast("long")
-    return F.least(F.greatest(col.cast("long"), zero), most)
+    """Cast that clamps to the unsigned range and truncates."""
+    return F.least(F.greatest(col.cast("double"), F.lit(0.0)), F.lit(float(2**bits - 1))).cast("long")
 
 
 def in_classes(col: Column, classes: Iterable[int]) -> Column:
     return col.isin(*classes)
+
+
+def clear(scenes: DataFrame, quality: str = "quality") -> DataFrame:
+    """Scenes without any quality flag; unknown quality counts as a flag."""
+    return scenes.where(F.col(quality) == 0)

@@ -70,12 +70,19 @@ def packed(rows: DataFrame, picked: DataFrame | None = None, block: int = BLOCK)
     sizes = rows.groupBy("group").agg(F.ceil(F.count("*") / block).alias("_blocks"))
     fold = F.col("fold") if "fold" in rows.columns else F.lit(-1)
     row = F.struct(F.col("id").cast("long").alias("id"), F.col("label").cast("int").alias("label"), fold.cast("int").alias("fold"), "bins")
-    dealt = rows.join(sizes, "group").groupBy("group", F.pmod(F.xxhash64("id"), "_blocks").alias("block")).agg(F.collect_list(row).alias("rows"), F.max("_blocks").alias("of"))
+    dealt = rows.join(sizes, "group").groupBy("group", F.pmod(F.xxhash64("id"), "_blocks").alias("block")).agg(F.collect_list(row).alias("rows"), F.max("_blocks").alias("of"), F.lit(-2).alias("held"))
     if picked is None:
         return stored(dealt.withColumn("picked", F.lit(None).cast("array<int>")), "blocks")
     return stored(dealt.join(picked.select("group", F.col("picked").cast("array<int>").alias("picked")), "group"), "blocks")
 
 
+def without_folds(blocks: DataFrame, folds: int) -> DataFrame:
+    """Blocks once for each fold, as groups "<group>|<fold>" whose models do not see that fold, and once whole as "<group>|"."""
+    held = F.explode(F.array(*map(F.lit, range(folds)), F.lit(-2))).alias("held")
+    dealt = blocks.select("group", "block", "rows", "of", "picked", held)
+    return dealt.withColumn("group", F.concat("group", F.lit("|"), F.when(F.col("held") >= 0, F.col("held").cast("string")).otherwise("")))
+
+
 class _Block:
     """A packed block's columns as numpy arrays."""
 
@@ -84,6 +91,9 @@ class _Block:
         self.ids, self.labels, self.folds = (rows.field(k).to_numpy(zero_copy_only=False) for k in ("id", "label", "fold"))
         bins = rows.field("bins").flatten().to_numpy(zero_copy_only=False)
         self.bins = bins.reshape(len(self.ids), -1).astype(np.int64) if len(self.ids) else np.zeros((0, 0), np.int64)
+        self.known = self.labels >= 0
+        if "held" in batch.schema.names:
+            self.known &= self.folds != batch.column("held")[at].as_py()
         own = batch.column("picked")[at].as_py()
         self.picked = np.array(range(self.bins.shape[1]) if own is None else sorted(f for f in set(own) if 0 <= f < self.bins.shape[1]), np.int64)
 
@@ -279,7 +289,7 @@ def class_histograms(blocks: DataFrame, nodes: DataFrame | None, level: int, cla
                 features, cuts = _table(batch.column("splits")[at], trees, level, ("feature", -1), ("cut", -1))
                 parts = []
                 for tree in range(trees):
-                    rows = np.flatnonzero(in_bag(block.ids, tree, bag, seed) & (block.labels >= 0))
+                    rows = np.flatnonzero(in_bag(block.ids, tree, bag, seed) & block.known)
                     node = _walk(block.bins[rows], features[tree], cuts[tree], level)
                     rows, node = rows[node >> level > 0], node[node >> level > 0]
                     if not len(rows) or not len(block.picked):
@@ -290,7 +300,7 @@ def class_histograms(blocks: DataFrame, nodes: DataFrame | None, level: int, cla
                     parts.append((np.full(len(v), tree), distinct[v], listed[v, f], b, n[v, f, b], sums[v, f, b]))
                 yield _cells(group, parts, classes)
 
-    return given.select("group", "rows", "picked", "splits").mapInArrow(run, _CELLS)
+    return given.select("group", "rows", "picked", "held", "splits").mapInArrow(run, _CELLS)
 
 
 def _whole_forests(blocks: DataFrame, classes: int, trees: int, per_split: int, leaf: int, bag: float, depth: int, seed: int) -> DataFrame:
@@ -301,14 +311,14 @@ def _whole_forests(blocks: DataFrame, classes: int, trees: int, per_split: int,
             for at in range(batch.num_rows):
                 block, group, parts = _Block(batch, at), batch.column("group")[at].as_py(), []
                 for tree in range(trees):
-                    rows = np.flatnonzero(in_bag(block.ids, tree, bag, seed) & (block.labels >= 0))
+                    rows = np.flatnonzero(in_bag(block.ids, tree, bag, seed) & block.known)
                     if len(rows) and len(block.picked):
                         asked = lambda v: asked_features(block.picked, tree, v, per_split, seed)  # noqa: B023, E731
                         node, feature, cut, n, s = _grow_here(block.bins[rows], asked, block.labels[rows], (), classes, leaf, depth)
                         parts.append((np.full(len(node), tree), node, feature, cut, n, s))
                 yield _cells(group, parts, classes)
 
-    made = blocks.select("group", "rows", "picked").mapInArrow(run, _CELLS)
+    made = blocks.select("group", "rows", "picked", "held").mapInArrow(run, _CELLS)
     real = lambda c: F.when(F.col("feature") >= 0, F.col(c))
     return made.select(*_NODE, real("feature").alias("feature"), real("bin").alias("cut"), "n", "s")
 
@@ -328,25 +338,66 @@ def grow_forest(blocks: DataFrame, classes: int, trees: int = 165, per_split: in
     return whole.unionByName(_grown(level_nodes, depth))
 
 
+class _Forest:
+    """A group's forest as (tree, node) tables."""
+
+    def __init__(self, nodes: pa.ListScalar, trees: int, depth: int, classes: int):
+        wanted = [("feature", -1), ("cut", -1), ("n", 1), *((f"s{k}", 0) for k in range(classes))]
+        self.features, self.cuts, n, *sums = _table(nodes, trees, depth, *wanted)
+        self.shares, self.depth = np.stack(sums, axis=2) / n[:, :, None], depth
+
+    def votes(self, bins: np.ndarray, trees: Iterable[int]) -> np.ndarray:
+        """The class shares [tree, row, class] of some trees."""
+        return np.stack([self.shares[t, _walk(bins, self.features[t], self.cuts[t], self.depth)] for t in trees])
+
+
+def _with_forest(blocks: DataFrame, forest: DataFrame, classes: int) -> DataFrame:
+    return blocks.join(_nodes_of_group(forest, "tree", "node", "feature", "cut", "n", *(F.col("s")[k].alias(f"s{k}") for k in range(classes)), name="nodes"), "group")
+
+
 def classify(blocks: DataFrame, forest: DataFrame, classes: int, trees: int, depth: int = 10) -> DataFrame:
-    """group, id, prediction (place of the class, the first of those alike), prob (percent) by the mean of the trees' class shares."""
-    given = blocks.join(_nodes_of_group(forest, "tree", "node", "feature", "cut", "n", *(F.col("s")[k].alias(f"s{k}") for k in range(classes)), name="nodes"), "group")
-    wanted = [("feature", -1), ("cut", -1), ("n", 1), *((f"s{k}", 0) for k in range(classes))]
+    """group, id, label, fold, prediction (place of the class, the first of those alike), prob (percent) by the mean of the trees' class shares."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
                 block, group = _Block(batch, at), batch.column("group")[at].as_py()
-                features, cuts, n, *sums = _table(batch.column("nodes")[at], trees, depth, *wanted)
-                shares = np.stack(sums, axis=2) / n[:, :, None]
+                forest = _Forest(batch.column("nodes")[at], trees, depth, classes)
                 total = np.zeros((len(block.ids), classes))
                 for tree in range(trees):
-                    total += shares[tree, _walk(block.bins, features[tree], cuts[tree], depth)]
+                    total += forest.votes(block.bins, [tree])[0]
                 best = total.argmax(axis=1)
                 prob = np.floor(100 * total[np.arange(len(best)), best] / np.maximum(total.sum(axis=1), 1e-300) + 1e-9).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array([group] * len(best), pa.string()), pa.array(block.ids), pa.array(best.astype(np.int32)), pa.array(prob)], names=["group", "id", "prediction", "prob"])
+                columns = [block.ids, block.labels, block.folds, best.astype(np.int32), prob]
+                yield pa.RecordBatch.from_arrays([pa.array([group] * len(best), pa.string()), *map(pa.array, columns)], names=["group", "id", "label", "fold", "prediction", "prob"])
 
-    return given.select("group", "rows", "picked", "nodes").mapInArrow(run, "group string, id long, prediction int, prob int")
+    given = _with_forest(blocks, forest, classes).select("group", "rows", "picked", "nodes")
+    return given.mapInArrow(run, "group string, id long, label int, fold int, prediction int, prob int")
+
+
+def class_shares(blocks: DataFrame, forest: DataFrame, classes: int, trees: int, depth: int = 10) -> DataFrame:
+    """group, id, label, fold, shares: the sum of the trees' shares of each class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                block, group = _Block(batch, at), batch.column("group")[at].as_py()
+                total = _Forest(batch.column("nodes")[at], trees, depth, classes).votes(block.bins, range(trees)).sum(axis=0)
+                columns = [pa.array([group] * len(total), pa.string()), *map(pa.array, (block.ids, block.labels, block.folds)), pa.array(list(total), pa.list_(pa.float64()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["group", "id", "label", "fold", "shares"])
+
+    given = _with_forest(blocks, forest, classes).select("group", "rows", "picked", "nodes")
+    return given.mapInArrow(run, "group string, id long, label int, fold int, shares array<double>")
+
+
+def gini_importance(forest: DataFrame) -> DataFrame:
+    """group, feature, importance: what splits on the feature take off the sum of Gini impurities, over all trees."""
+    squares = F.aggregate("s", F.lit(0.0), lambda a, x: a + x.cast("double") * x) / F.col("n")
+    nodes = forest.select(*_NODE, "feature", squares.alias("score"))
+    up = F.when(F.col("node") > 1, F.expr("node div 2"))
+    children = nodes.select("group", "tree", up.alias("node"), "score").where("node is not null").groupBy(*_NODE).agg(F.sum("score").alias("below"))
+    gained = nodes.where("feature is not null").join(children, _NODE)
+    return gained.groupBy("group", "feature").agg(F.sum(F.col("below") - F.col("score")).alias("importance"))
 
 
 # boosting

@@ -6,16 +6,20 @@ and each row is judged by itself; only sizes of classes need a (combined) count.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_PRIME = 2_147_483_647
+#: Digits of a hexadecimal hash that a double holds exactly.
+_DIGITS = 13
+_LEVELS = 60
 
 
 def uniform(seed: int = 0, pixel: str = "pixel_id", year: str = "year") -> Column:
-    """A repeatable number in [0, 1) for a pixel and year, the same in any SQL engine."""
-    mixed = (F.col(pixel).cast("long") * 48_271 + F.col(year).cast("long") * 7_919 + seed) % 1_000_003
-    return (mixed * 1_103_515_245 + 12_345) % _PRIME / F.lit(float(_PRIME))
+    """A repeatable number in [0, 1) for a pixel and year, the same in any SQL engine: 52 bits of a hash, so keys do not share numbers."""
+    mixed = F.md5(F.concat_ws(":", pixel, year, F.lit(str(seed))))
+    return F.conv(F.substring(mixed, 1, _DIGITS), 16, 10).cast("long") / F.lit(float(16**_DIGITS))
 
 
 def stable_area(stable: Column, burned: Column, alert: Column, coincidence: Column, below: int = 3) -> Column:
@@ -24,9 +28,20 @@ def stable_area(stable: Column, burned: Column, alert: Column, coincidence: Colu
 
 
 def stratified(df: DataFrame, n: int, *strata: str, seed: int = 0) -> DataFrame:
-    """n rows of each stratum, or all it has."""
-    first = Window.partitionBy(*strata).orderBy(uniform(seed), "pixel_id", "year")
-    return df.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= n).drop("_rank")
+    """n rows of each stratum, or all it has: those of the least numbers.
+
+    Counts of the numbers by their size (powers of two) show which sizes the n least have.
+    Only those rows, about 2n of a stratum, are ranked, so no stratum is one task's.
+    """
+    level = F.least(F.floor(-F.log2(F.greatest(F.col("_u"), F.lit(2.0**-_LEVELS)))), F.lit(_LEVELS)).cast("int")
+    drawn = df.withColumn("_u", uniform(seed)).withColumn("_level", level)
+    least_first = Window.partitionBy(*strata).orderBy(F.desc("_level"))
+    counts = drawn.groupBy(*strata, "_level").agg(F.count("*").alias("_n")).withColumn("_upto", F.sum("_n").over(least_first))
+    bound = counts.where(F.col("_upto") - F.col("_n") < n).groupBy(*strata).agg(F.min("_level").alias("_bound"))
+    same = reduce(lambda a, b: a & b, (F.col(f"d.{c}").eqNullSafe(F.col(f"b.{c}")) for c in strata))
+    near = drawn.alias("d").join(bound.alias("b"), same & (F.col("d._level") >= F.col("b._bound"))).select("d.*")
+    first = Window.partitionBy(*strata).orderBy("_u", "pixel_id", "year")
+    return near.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= n).select(*df.columns)
 
 
 def uniform_sample(df: DataFrame, n: int, seed: int = 0) -> DataFrame:

@@ -20,6 +20,43 @@ def clip(df: DataFrame, members: DataFrame) -> DataFrame:
     return df.join(members, "pixel_id", "left_semi")
 
 
+def _boxed(boxes: DataFrame, finest: float, levels: int, side: str, coarser: range | None = None) -> DataFrame:
+    """Rows of boxes once for each grid cell they touch, on the level of their size, or so many levels up from it."""
+    kept = boxes.columns
+    size = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"), F.lit(finest))
+    own = F.least(F.ceil(F.log2(size / finest) - 1e-9), F.lit(levels - 1)).cast("int")
+    rows = boxes.where("x0 <= x1 and y0 <= y1").withColumn("_own", F.greatest(own, F.lit(0)))
+    on = F.transform(F.array(*map(F.lit, coarser or [0])), lambda up: F.col("_own") + up)
+    rows = rows.withColumn("_level", F.explode(on)).where(F.col("_level") < levels).withColumn("_cell", F.lit(finest) * F.pow(F.lit(2.0), "_level"))
+    at = lambda c: F.floor(F.col(c) / F.col("_cell"))
+    rows = rows.withColumn("_x", F.explode(F.sequence(at("x0"), at("x1")))).withColumn("_y", F.explode(F.sequence(at("y0"), at("y1"))))
+    return rows.select(F.struct(*kept).alias(side), "_level", "_cell", "_x", "_y")
+
+
+def overlaps(a: DataFrame, b: DataFrame, finest: float, levels: int = 12) -> DataFrame:
+    """The pairs of rows of a and b whose boxes (x0, y0, x1, y1) share a point, with a's columns and b's others.
+
+    Boxes meet in the cells of a grid whose side is that of the larger one, rounded up to a
+    power of two times finest, so a box touches four cells of a level, whatever its size
+    (more only if it exceeds the coarsest level), and small boxes meet there only large ones. A pair is reported by the one cell that
+    holds the lower left corner of what they share: no pair comes twice. Boxes with a null
+    or a negative side meet nothing.
+    """
+    key = ["_level", "_cell", "_x", "_y"]
+    large_a = _boxed(a, finest, levels, "a").join(_boxed(b, finest, levels, "b", range(levels)), key)
+    large_b = _boxed(a, finest, levels, "a", range(1, levels)).join(_boxed(b, finest, levels, "b"), key)
+    low = {c: F.greatest(f"a.{c}0", f"b.{c}0") for c in "xy"}
+    meet = [(low[c] <= F.least(f"a.{c}1", f"b.{c}1")) & (F.floor(low[c] / F.col("_cell")) == F.col(f"_{c}")) for c in "xy"]
+    found = large_a.unionByName(large_b).where(meet[0] & meet[1])
+    return found.select("a.*", *(F.col(f"b.{c}") for c in b.columns if c not in a.columns))
+
+
+def index_profile(scenes: DataFrame, name: str, key: str = "pixel_id") -> DataFrame:
+    """key, profile: the (year, value) series of an index at each point, from the medians of each year's bands."""
+    yearly = scenes.groupBy(key, "year").agg(*(F.median(f"{b}_median").alias(f"{b}_median") for b in indices.BANDS))
+    return yearly.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("year", indices.index(name).alias("value")))).alias("profile"))
+
+
 def intersect_regions(a: DataFrame, b: DataFrame) -> DataFrame:
     """Pixels that both regions have."""
     return a.select("pixel_id").intersect(b.select("pixel_id"))

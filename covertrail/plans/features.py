@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import indices, legend, masks
@@ -69,6 +70,34 @@ def index_pack(v: Views):
     return v.scenes.select(*_KEYS, *(indices.index(n, scale="uint16").alias(n) for n in ("ndwi", "brba", "lswi")))
 
 
+_SEASONS = {"": "true", "_wet": "month <= 6", "_dry": "month > 6"}
+_SEASON_SQL = (
+    ", m AS (SELECT pixel_id, year, "
+    + ", ".join(f"median({b}_median) FILTER ({test}) AS {s}{k}" for k, test in _SEASONS.items() for b, s in zip(indices.BANDS, ("b", "g", "r", "n", "s1", "s2")))
+    + " FROM scene GROUP BY ALL), "
+    + ", ".join(f"p{k} AS (SELECT pixel_id, year, " + ", ".join(f"least(greatest(trunc((({INDEX_SQL[n]}) + {indices.INDICES[n][1]}) * 10000), 0), 65535)::INT AS {n}_median{k}" for n in indices.PACK) + f" FROM (SELECT pixel_id, year, b{k} AS b, g{k} AS g, r{k} AS r, n{k} AS n, s1{k} AS s1, s2{k} AS s2 FROM m))" for k in _SEASONS)
+    + " SELECT * FROM p JOIN p_wet USING (pixel_id, year) JOIN p_dry USING (pixel_id, year)"
+)
+
+
+@query("x4_index_pack_seasons", _SEASON_SQL)
+def index_pack_seasons(v: Views):
+    """The whole index pack of the annual, wet and dry mosaic of each pixel-year, as unsigned 16-bit numbers."""
+    parts = {"": F.lit(True), "_wet": F.col("month") <= 6, "_dry": F.col("month") > 6}
+    medians = [F.median(F.when(test, F.col(f"{b}_median"))).alias(f"{b}_median{k}") for k, test in parts.items() for b in indices.BANDS]
+    mosaic = v.scenes.groupBy("pixel_id", "year").agg(*medians)
+    made = [f"{n}_median{k}" for k in parts for n in indices.PACK]
+    return indices.add_pack(mosaic, ("annual", "wet", "dry"), "uint16").select("pixel_id", "year", *made)
+
+
+@query("w15_index_profile", _BANDS + f", m AS (SELECT pixel_id, year, median(r) AS r, median(n) AS n FROM bands GROUP BY ALL) SELECT pixel_id, string_agg(year || '=' || coalesce({micro_sql('(n - r) / nullif(n + r, 0)')}::VARCHAR, ''), ',' ORDER BY year) AS profile FROM m GROUP BY 1")
+def index_profile(v: Views):
+    """The series of a vegetation index at each pixel."""
+    found = tables.index_profile(v.scenes, "ndvi")
+    line = F.transform("profile", lambda x: F.concat_ws("=", x["year"], F.coalesce(micro(x["value"]).cast("string"), F.lit(""))))
+    return found.select("pixel_id", F.array_join(line, ",").alias("profile"))
+
+
 @query("x3_fraction_index", f", f AS (SELECT *, red_median AS gv, green_median AS npv, blue_median AS soil FROM scene) SELECT pixel_id, year, l_orderkey, l_linenumber, {micro_sql('(gv - soil) / nullif(gv + 2 * npv + soil, 0) + 1')} AS ndfia FROM f")
 def fraction_index(v: Views):
     fractions = v.scenes.withColumns({"gv": F.col("red_median"), "npv": F.col("green_median"), "soil": F.col("blue_median")})
@@ -128,9 +157,9 @@ def class_in_basin(v: Views):
     return tables.allowed_classes(v.a, [("Brand#13", 12)]).select("pixel_id", "year", "class")
 
 
-@query("p21_quality_mask", "SELECT pixel_id, year, l_orderkey, l_linenumber, nir_median / 10000 AS nir FROM scene WHERE l_orderkey % 4 = 0")
+@query("p21_quality_mask", "SELECT pixel_id, year, l_orderkey, l_linenumber, nir_median / 10000 AS nir FROM scene WHERE quality = 0")
 def quality_mask(v: Views):
-    return v.scenes.where("l_orderkey % 4 = 0").select(*_KEYS, (F.col("nir_median") / 10000).alias("nir"))
+    return masks.clear(v.scenes).select(*_KEYS, (F.col("nir_median") / 10000).alias("nir"))
 
 
 @query(
@@ -147,6 +176,21 @@ def logistic(v: Views):
 # joins and sets
 
 
+_BOXES = """, seen AS (SELECT l_orderkey, (pixel_id % 50)::DOUBLE AS x0, (pixel_id // 50)::DOUBLE AS y0, pixel_id % 50 + l_linenumber / 2.0e0 AS x1, pixel_id // 50 + red_median * 4 AS y1 FROM scene),
+ land AS (SELECT p_partkey AS region, p_partkey % 50 - p_size / 40.0e0 AS x0, p_partkey // 50 - p_size / 25.0e0 AS y0, p_partkey % 50 + p_size / 40.0e0 AS x1, p_partkey // 50 + p_size / 25.0e0 AS y1 FROM part)"""
+
+
+@query("j2_bounds_overlap", _BOXES + " SELECT region, count(*) AS scenes, sum(l_orderkey)::BIGINT AS orders FROM seen s JOIN land r ON s.x0 <= r.x1 AND r.x0 <= s.x1 AND s.y0 <= r.y1 AND r.y0 <= s.y1 GROUP BY 1")
+def bounds_overlap(v: Views):
+    """Scenes whose footprint meets a region's bounds."""
+    x, y = (F.col("pixel_id") % 50).cast("double"), F.expr("pixel_id div 50").cast("double")
+    seen = v.scenes.select("l_orderkey", x.alias("x0"), y.alias("y0"), (x + F.col("l_linenumber") / 2).alias("x1"), (y + F.col("red_median") * 4).alias("y1"))
+    wide, high = F.col("p_size") / 40, F.col("p_size") / 25
+    land = v.pixels.select(F.col("pixel_id").alias("region"), (x - wide).alias("x0"), (y - high).alias("y0"), (x + wide).alias("x1"), (y + high).alias("y1"))
+    met = tables.overlaps(seen, land, finest=1.0)
+    return met.groupBy("region").agg(F.count("*").alias("scenes"), F.sum("l_orderkey").alias("orders"))
+
+
 @query("j3_map_pairs", "SELECT pixel_id, year, a, b FROM pairs WHERE a = b")
 def map_pairs(v: Views):
     return compare.pair_maps(v.a, v.b).where("a = b").select("pixel_id", "year", "a", "b")
@@ -225,7 +269,7 @@ def sort_limit(v: Views):
 
 # sampling
 
-_U = "(((pixel_id::BIGINT * 48271 + year::BIGINT * 7919 + {s}) % 1000003) * 1103515245 + 12345) % 2147483647 / 2147483647.0e0"
+_U = "('0x' || substr(md5(pixel_id || ':' || year || ':{s}'), 1, 13))::BIGINT / 4503599627370496.0e0"
 _DRAWN = ", u AS (SELECT pixel_id, year, basin, class, " + _U.format(s=0) + " AS u FROM a WHERE class IS NOT NULL)"
 
 
@@ -274,7 +318,6 @@ def split(v: Views):
 
 @query("m14_sample_size", ", s AS (SELECT class, n / sum(n) OVER () AS share FROM (SELECT class, count(*) AS n FROM a WHERE class IS NOT NULL GROUP BY class)) SELECT class, ceil(7.568e0 * share * (1 - share) / (0.05e0 * 0.05e0))::BIGINT AS n FROM s")
 def sample_size(v: Views):
-    counts = areas.histogram(_observed(v))
-    total = counts.agg(F.sum("n")).first()[0]
-    shares = counts.select("class", (F.col("n") / F.lit(total)).alias("share"))
+    counts = areas.histogram(_observed(v))  # a row for each class
+    shares = counts.select("class", (F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(0)))).alias("share"))
     return sampling.tortora_size(shares, 7.568, 0.05).select("class", "n")

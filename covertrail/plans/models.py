@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import indices
-from ..operators import areas, forests, ml, temporal
+from ..operators import accuracy, areas, forests, ml, selection, temporal
 from ..scratch import stored
 from . import features
 from .maps import query as _query
@@ -15,6 +15,7 @@ from .views import LAST, Views, micro, micro_sql
 Q: dict = {}
 SQL: dict[str, str] = {}
 SIZE, CLASSES = 64, range(10)
+_BINS, _LISTED = 16, 10
 
 
 def query(name: str, sql: str | None = None):
@@ -87,8 +88,11 @@ def importance(v: Views):
 
 @query("l9_permutation_importance")
 def permutation(v: Views):
-    train, test = _split(v)
-    return ml.permutation_importance(test, _small().fit(train), range(SIZE), repeats=10)
+    """Accuracy that each feature's permutation takes from a forest, on samples that it has not seen; ten repeats."""
+    rows = samples(v).select(F.lit("all").alias("group"), "id", "label", "fold", "features")
+    rows = stored(forests.binned(rows, forests.equal_width(rows, _BINS)), "binned")
+    model = forests.grow_forest(forests.packed(rows.where("fold < 3"), block=1024), len(CLASSES), trees=165, per_split=15, leaf=5, depth=8)
+    return selection.permutation_drops(rows.where("fold >= 3"), model, len(CLASSES), trees=165, depth=8, repeats=10, block=512).drop("group")
 
 
 @query("l10_a21_grid_search")
@@ -108,6 +112,18 @@ def grid(v: Views):
     return ml.cv_pivot(scores, trees)
 
 
+@query("l11_class_roc")
+def class_roc(v: Views):
+    """Area under each class's ROC over five folds, from the scores of forests that did not see the fold: mean, deviation, number of folds."""
+    rows = samples(v).select(F.lit("all").alias("group"), "id", "label", "fold", "features")
+    blocks = stored(forests.without_folds(forests.packed(forests.binned(rows, forests.equal_width(rows, _BINS)), block=1024), 5).where("held >= 0"), "held-out")
+    model = stored(forests.grow_forest(blocks, len(CLASSES), trees=100, per_split=8, leaf=2, depth=8), "forest")
+    scores = forests.class_shares(blocks, model, len(CLASSES), trees=100, depth=8).where(F.col("group") == F.concat(F.lit("all|"), "fold"))
+    one = scores.select("fold", F.col("label").alias("is"), F.posexplode("shares").alias("class", "score"))
+    areas_ = accuracy.auc(one.select("class", "fold", (F.col("is") == F.col("class")).cast("int").alias("label"), F.round("score", 9).alias("score")), "class", "fold")
+    return areas_.groupBy("class").agg(F.avg("auc").alias("mean_auc"), F.stddev_pop("auc").alias("std_auc"), F.count("auc").alias("folds"))
+
+
 @query("l12_dominant_cluster")
 def cluster(v: Views):
     return ml.dominant_cluster(samples(v), 10).select("id", "label", "cluster")
@@ -118,7 +134,6 @@ def cluster(v: Views):
 _LEGEND = (3, 4, 12, 21, 22, 33)
 _MIXED = ("ndvi", "ndwi", "gcvi", "osavi", "lswi", "bsi", "gemi", "brightness")
 _BANDS = [f"{b}_median" for b in ("blue", "green", "red", "nir", "swir1", "swir2")]
-_BINS, _LISTED = 16, 10
 
 
 def _group(year: Column) -> Column:
@@ -234,6 +249,16 @@ def basin_years(v: Views):
     return _classified(forests.classify(mosaic, model, len(_LEGEND), trees=165, depth=6))
 
 
+@query("l6_basin_elimination")
+def basin_elimination(v: Views):
+    """Features of each basin and year by recursive elimination, one a round, three folds; those selected by the ranking rule."""
+    rows = temporal.folds(basin_samples(v), 3, "group", "label", key="id")
+    blocks = forests.packed(forests.binned(rows, forests.equal_width(rows, _BINS)), block=1024)
+    ranked = stored(selection.eliminate(blocks, len(_BANDS) + len(_MIXED), len(_LEGEND), trees=20, per_split=4, leaf=5, bag=0.8, depth=6), "ranking")
+    picked = selection.selected(ranked)
+    return ranked.join(picked, "group").select("group", "feature", "ranking", "best", F.array_contains("picked", F.col("feature")).alias("selected"))
+
+
 @query("l14_tuned_boosting")
 def tuned_boosting(v: Views):
     """Samples classified by the boosted model of their basin and year, with the rate and number of trees that the registry holds for it."""

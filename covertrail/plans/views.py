@@ -42,7 +42,8 @@ points AS (
 ), scene AS (
   SELECT l_partkey AS pixel_id, year(l_shipdate)::INT AS year, l_orderkey, l_linenumber,
          l_discount + 0.01e0 AS blue_median, l_tax + 0.02e0 AS green_median, l_quantity / 100 AS red_median,
-         l_extendedprice / 100000 AS nir_median, (l_suppkey % 50 + 1) / 100.0e0 AS swir1_median, l_linenumber / 10.0e0 AS swir2_median
+         l_extendedprice / 100000 AS nir_median, (l_suppkey % 50 + 1) / 100.0e0 AS swir1_median, l_linenumber / 10.0e0 AS swir2_median,
+         month(l_shipdate)::INT AS month, (l_returnflag = 'A')::INT + 2 * (l_discount > 0.085)::INT AS quality
   FROM lineitem
 )
 """
@@ -121,7 +122,7 @@ class Views:
 
     @property
     def scenes(self) -> DataFrame:
-        """Line items as scenes with six bands."""
+        """Line items as scenes with six bands; quality has a bit for clouds (returned) and one for haze (high discount)."""
         c = F.col
         return self.table("lineitem").select(
             c("l_partkey").alias("pixel_id"),
@@ -134,6 +135,8 @@ class Views:
             (c("l_extendedprice") / 100000).alias("nir_median"),
             ((c("l_suppkey") % 50 + 1) / F.lit(100.0)).alias("swir1_median"),
             (c("l_linenumber") / F.lit(10.0)).alias("swir2_median"),
+            F.month("l_shipdate").alias("month"),
+            ((c("l_returnflag") == "A").cast("int") + 2 * (c("l_discount") > 0.085).cast("int")).alias("quality"),
         )
 
 

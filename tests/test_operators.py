@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from covertrail.functions import legend, masks
-from covertrail.operators import accuracy, spatial, temporal
+from covertrail.operators import accuracy, sampling, spatial, tables, temporal
 
 
 def left_to_right(series, window, cls):
@@ -99,3 +99,34 @@ def test_roc_ranges(spark):
             assert abs(r.tpr - sum(s >= r.score for s in pos) / len(pos)) < 1e-12 and abs(r.fpr - sum(s >= r.score for s in neg) / len(neg)) < 1e-12
         want = sum((p > n) + (p == n) / 2 for p in pos for n in neg) / len(pos) / len(neg)
         assert abs(accuracy.auc(df, "k").where(f"k = {k}").first().auc - want) < 1e-12
+
+
+def test_overlaps(spark):
+    """Every pair that shares a point, once: boxes of very unlike sizes, on cell borders, turned inside out, null."""
+    rng = random.Random(9)
+    boxes = []
+    for i in range(160):
+        x, y, side = rng.choice((rng.uniform(-40, 40), rng.randint(-8, 8))), rng.uniform(-40, 40), rng.choice((0.0, 0.1, 1.0, 4.0, 30.0, 500.0))
+        boxes.append((i, float(x), y, x + side * rng.choice((1, 0.3)), y + side))
+    boxes += [(900, 1.0, 1.0, 0.5, 2.0), (901, None, 0.0, 1.0, 1.0), (902, -1e5, -1e5, 1e5, 1e5)]
+    a, b = boxes[:80] + boxes[-3:], boxes[60:]
+    frame = lambda rows, name: spark.createDataFrame(rows, f"{name} int, x0 double, y0 double, x1 double, y1 double")
+    found = [(r.a, r.b) for r in tables.overlaps(frame(a, "a"), frame(b, "b"), finest=1.0, levels=10).collect()]
+    right = lambda p: p[1] is not None and p[1] <= p[3] and p[2] <= p[4]
+    meet = lambda p, q: p[1] <= q[3] and q[1] <= p[3] and p[2] <= q[4] and q[2] <= p[4]
+    assert sorted(found) == sorted((p[0], q[0]) for p in a for q in b if right(p) and right(q) and meet(p, q))
+
+
+def test_draws_are_even_and_whole(spark):
+    """Far more keys than a small hash could tell apart; every stratum gives its n least numbers, or all it has."""
+    far = spark.range(0, 10**10, 10**5).selectExpr("id as pixel_id", "2000 as year").select("*", sampling.uniform().alias("u"))
+    made = far.selectExpr("count(distinct u) as n", "avg(u) as mean", "count_if(u < 0.1) as low").first()
+    assert made.n == 100_000 and abs(made.mean - 0.5) < 0.005 and abs(made.low - 10_000) < 500
+    sizes = {"a": 5000, "b": 12, "c": 3, None: 40}
+    rows = [(i, 2000, s) for s, n in sizes.items() for i in range(n)]
+    df = spark.createDataFrame(rows, "pixel_id long, year int, stratum string")
+    drawn = sampling.stratified(df, 10, "stratum").collect()
+    numbers = {(r.stratum, r.pixel_id): r.u for r in df.select("*", sampling.uniform().alias("u")).collect()}
+    for s, n in sizes.items():
+        least = sorted(range(n), key=lambda i: numbers[s, i])[:10]  # noqa: B023
+        assert sorted(r.pixel_id for r in drawn if r.stratum == s) == sorted(least)
