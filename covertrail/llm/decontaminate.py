@@ -24,6 +24,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.classic import column as classic
 
 from .common import discard, materialise, table, text_of
 
@@ -137,10 +138,17 @@ def _bitmap(hashes: DataFrame, bits: int) -> Column:
     """
     places = hashes.select(F.explode(F.array(*_places(F.col("hash"), bits))).alias("at"))
     words = places.groupBy(F.expr("at div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("set"))
-    filled = np.zeros(bits // 64, np.int64)
-    for row in words.collect():
-        filled[row["word"]] = row["set"]
-    return F.lit(filled)
+    found, filled = words.toArrow(), np.zeros(bits // 64, np.int64)
+    filled[found["word"].to_numpy()] = found["set"].to_numpy()
+    return _constant(hashes.sparkSession, filled)
+
+
+def _constant(spark: SparkSession, values: np.ndarray) -> Column:
+    """values as a literal array, handed over in one piece: lit() would hand over each value by a call of its own."""
+    context = spark.sparkContext
+    array = context._gateway.new_array(context._jvm.long, len(values))
+    context._jvm.java.nio.ByteBuffer.wrap(values.astype(">i8").tobytes()).asLongBuffer().get(array)
+    return classic.Column(context._jvm.org.apache.spark.sql.functions.lit(array))
 
 
 def _places(h: Column, bits: int) -> tuple[Column, Column]:

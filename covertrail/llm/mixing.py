@@ -149,16 +149,19 @@ def mix(
     rated = rated.select(*(F.col(d).alias(f"_{d}") for d in dims), "probability")
     if rated.count() <= BROADCAST_CELLS:
         rated = F.broadcast(rated)
-    tagged = docs.select(*of, cell.alias("_cell"), tokens_of(t).alias("_tokens"))
-    same = [tagged["_cell"][d] == rated[f"_{d}"] for d in dims]
     drawn = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(id), t), 11) * F.lit(2.0**-53)
-    found = F.struct(F.col("_cell.topic").alias("topic"), F.col("_tokens").alias("n_tokens"), "probability", (drawn < F.col("probability")).alias("sampled"))
-    return tagged.join(rated, same[0] & same[1] & same[2]).select(*of, found.alias("mix"))
+    # the columns of docs stand in a struct, where their names cannot clash
+    tagged = docs.select(F.struct(*of).alias("own"), cell.alias("cell"), tokens_of(t).alias("n_tokens"), drawn.alias("drawn"))
+    same = [F.col(f"cell.{d}") == F.col(f"_{d}") for d in dims]
+    found = F.struct(F.col("cell.topic").alias("topic"), "n_tokens", "probability", (F.col("drawn") < F.col("probability")).alias("sampled"))
+    return tagged.join(rated, same[0] & same[1] & same[2]).select("own.*", found.alias("mix"))
 
 
 def sample(docs: DataFrame, **options) -> DataFrame:
-    """The documents that mix() samples, with the columns of docs."""
-    return mix(docs, **options).where("mix.sampled").select(*docs.columns)
+    """The documents that mix() samples, with the columns of docs, whatever their names."""
+    id, text = options.pop("id", "doc_id"), options.pop("text", "text")
+    whole = docs.select(F.struct("*").alias("own"), F.col(id).alias("doc_id"), F.col(text).alias("text"), "source", "lang")
+    return mix(whole, **options).where("mix.sampled").select("own.*")
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

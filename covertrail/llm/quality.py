@@ -145,12 +145,16 @@ def passes(policy: str) -> Column:
 
 
 def apply_policy(docs: DataFrame, policy: str = "v1", text: str = "text") -> DataFrame:
-    """The documents that pass the policy, with the columns of docs."""
+    """The documents that pass the policy, with the columns of docs, whatever their names.
+
+    Null and empty texts have no words and break rules; repeated rows fare alike.
+    """
+    whole = docs.select(F.struct("*").alias("own"), F.col(text).alias("text"))  # own names cannot clash inside
     # the explode keeps the filter above the ledger: pushed down into it, it would
     # split the text again for every element that a rule looks at
-    bits = F.explode(F.array("failed_bits")).alias("_bits")
-    kept = F.col("_bits").bitwiseAND(policy_mask(policy)) == 0
-    return ledger(docs, text).select(*docs.columns, bits).where(kept).select(*docs.columns)
+    bits = F.explode(F.array("failed_bits")).alias("bits")
+    kept = F.col("bits").bitwiseAND(policy_mask(policy)) == 0
+    return ledger(whole).select("own", bits).where(kept).select("own.*")
 
 
 def ablate(scored: DataFrame, policy: str = "v1") -> DataFrame:

@@ -96,10 +96,10 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     characters), access, hex. Weak kinds are added where they complete a credential:
     value and pass beside an access id, user name or endpoint; ident and endpoint beside
     a secret. Spans of different kinds may overlap. A null or empty text has an
-    empty array; repeated rows each get their own; the text itself is not kept.
+    empty array; repeated rows each get their own; the text itself is not kept and a column named spans is replaced.
     """
     t = text_of(text)
-    keep = [c for c in docs.columns if c != text]
+    keep = [c for c in docs.columns if c not in (text, "spans")]
     tagged = docs.select(F.struct(*keep).alias("of"), F.monotonically_increasing_id().alias("row"), t.alias("t"))
     tagged = tagged.select("of", "row", "t", F.struct(*(c.alias(k) for k, c in _parts(F.col("t")).items())).alias("found"))
     has = lambda role: F.coalesce(*(F.col(f"found.{k}") for k in KINDS if ROLES[k] == role)).isNotNull()

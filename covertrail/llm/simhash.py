@@ -40,6 +40,8 @@ WORDS, SIMILARITY = 5, 80
 BANDS, ROWS = 24, 4
 #: Documents (some 30 bytes each) that are broadcast to find their texts; more are joined by shuffle.
 BROADCAST_TEXTS = 500_000
+#: Shingles that a row of a text knows to stand before its own.
+AHEAD = 64
 
 
 def fingerprint(text: str, shingle: int = 4) -> int:
@@ -209,13 +211,16 @@ def groups(docs: DataFrame, id: str = "doc_id") -> DataFrame:
     """docs, which has id and fp, with component_id: the least id among all connected documents.
 
     Equal fingerprints are one node. Rows with a null id get the least id of their
-    group, null only if the whole group has none; repeated rows each get theirs.
+    group, null only if the whole group has none; repeated rows each get theirs. A column
+    named component_id is replaced.
     """
+    docs = docs.drop("component_id")
     prints = materialise(docs.groupBy("fp").agg(F.min(id).alias("least")), "prints")
     joined = components(links(prints.select("fp")))
     known = prints.join(joined.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = known.groupBy("root").agg(F.min("least").alias("component_id"))
-    return docs.join(known.select("fp", "root").join(least, "root").drop("root"), "fp")
+    rows = docs.select(F.struct("*").alias("own"), F.col("fp").alias("fp"))
+    return rows.join(known.select("fp", "root").join(least, "root").drop("root"), "fp").select("own.*", "component_id")
 
 
 def shingle_hashes(text: str) -> np.ndarray:
@@ -306,16 +311,23 @@ def _rare_pairs(tangled: DataFrame, texts: DataFrame) -> DataFrame:
     A text's shingles are put in order of frequency, rarest first. Of alike sets of n
     and m the first shared shingle stands early enough in both, at places i and j, that
     what follows can still hold SIMILARITY: that is exact, no alike pair is lost. What
-    many texts have in common stands last and joins nothing.
+    many texts have in common stands last and joins nothing. All texts keep one order, so
+    of a pair's shared shingles one is first in both: it alone makes the pair, unless it
+    stands behind the AHEAD shingles that a row knows to stand before it.
     """
     grams = materialise(texts.join(tangled, "whole").select("whole", "n", "root", F.explode(_grams(F.col("t"))).alias("gram")), "grams")
     counts = grams.groupBy("gram").agg(F.count("*").alias("often"))
     placed = grams.join(counts, "gram").withColumn("place", F.row_number().over(Window.partitionBy("whole").orderBy("often", "gram")))
     early = materialise(placed.where((100 * (F.col("place") - 1) <= (100 - SIMILARITY) * F.col("n")) & (F.col("often") > 1)).drop("often"), "early")
-    other = early.select("gram", F.col("whole").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"), F.col("place").alias("at"))
+    ahead = F.transform(F.slice(F.sort_array(F.collect_list(F.when(F.col("place") < F.col("least") + AHEAD, F.struct("place", "gram")))), 1, AHEAD), lambda x: x["gram"])
+    leasts = early.groupBy("whole").agg(F.min("place").alias("least"))
+    firsts = early.join(leasts, "whole").groupBy("whole", "least").agg(ahead.alias("firsts"))
+    before = F.slice("firsts", F.lit(1), F.least(F.col("place") - F.col("least"), F.lit(AHEAD)))
+    early = materialise(early.join(firsts, "whole").select("whole", "n", "root", "gram", "place", before.alias("ahead")), "early")
+    other = early.select("gram", F.col("whole").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"), F.col("place").alias("at"), F.col("ahead").alias("others"))
     left = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("at")) + 1
     room = (100 + SIMILARITY) * left >= SIMILARITY * (F.col("n") + F.col("m"))
-    met = early.join(other, "gram").where((F.col("whole") < F.col("b")) & (F.col("root") != F.col("other")) & _fits(F.col("n"), F.col("m")) & room)
+    met = early.join(other, "gram").where((F.col("whole") < F.col("b")) & (F.col("root") != F.col("other")) & _fits(F.col("n"), F.col("m")) & room & ~F.arrays_overlap("ahead", "others"))
     return met.select(F.col("whole").alias("a"), "b").distinct()
 
 
@@ -350,18 +362,19 @@ def dedup(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     Documents are linked from a Jaccard similarity of SIMILARITY percent of their sets of
     five-word shingles, and so are all connected by links. op4's contract (four words, 4
     differing bits) does not reach that and binds only op4. Of rows with that id the one
-    whose text has the least hash stays, once.
+    whose text has the least hash stays, once. Null texts are empty; the names of other
+    columns do not matter. No rows in, no rows out.
     """
     hashed = F.xxhash64(text_of(text))
-    marked = materialise(docs.select(id, hashed.alias("_hash"), _sketches(text_of(text)).alias("s")).select(id, "_hash", "s.*"), "sketches")
-    first = F.min(F.struct(F.col(id).isNull().alias("none"), F.col(id).alias("id"), "_hash")).alias("best")
+    marked = materialise(docs.select(F.col(id).alias("id"), hashed.alias("_hash"), _sketches(text_of(text)).alias("s")).select("id", "_hash", "s.*"), "sketches")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_hash")).alias("best")
     prints = materialise(marked.groupBy("whole").agg(first, F.first("n").alias("n"), F.first("keys").alias("keys")), "prints")
     joined = copies(prints, docs, text)
     known = prints.join(joined.withColumnRenamed("node", "whole"), "whole", "left").withColumn("root", F.coalesce("root", "whole"))
     best = known.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.id").alias("_id"), F.col("best._hash").alias("_hash"))
-    tagged = docs.withColumn("_hash", hashed)
-    kept = tagged.join(best, tagged[id].eqNullSafe(best["_id"]) & (tagged["_hash"] == best["_hash"]), "left_semi")
-    return kept.dropDuplicates([id, "_hash"]).select(*docs.columns)
+    tagged = docs.select(F.struct("*").alias("own"), F.col(id).alias("id"), hashed.alias("hash"))
+    kept = tagged.join(best, F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash")), "left_semi")
+    return kept.dropDuplicates(["id", "hash"]).select("own.*")
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

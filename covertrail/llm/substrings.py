@@ -267,9 +267,9 @@ def duplicate_spans(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     discard(spark, met, found, earliest)
 
     spans = matches.mapInArrow(_parse_rows, "id long, key long, spans array<struct<start:int,end:int,earlier:bigint>>").withColumnsRenamed({"id": "_id", "key": "_key", "spans": "_spans"})
-    tagged = docs.select(*of, number.alias("_of"), F.xxhash64(t).alias("_hash"))
-    joined = tagged.join(spans, (tagged["_of"] == spans["_id"]) & (tagged["_hash"] == spans["_key"]), "left")
-    return joined.select(*of, F.coalesce("_spans", lists).alias("spans"))
+    tagged = docs.select(F.struct(*of).alias("own"), number.alias("id"), F.xxhash64(t).alias("key"))
+    joined = tagged.join(spans, (F.col("id") == F.col("_id")) & (F.col("key") == F.col("_key")), "left")
+    return joined.select("own.*", F.coalesce("_spans", lists).alias("spans"))
 
 
 def kept_words(words: list[bytes], starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
