@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from covertrail.operators import forests
+from covertrail.operators import forests, selection
 
 CLASSES, BINS = 3, 8
 
@@ -174,3 +174,90 @@ def test_quantile_edges(spark):
     rows = spark.createDataFrame([("g", i, 0, [float(i * i)]) for i in range(1000)], "group string, id long, label int, features array<double>")
     counts = forests.binned(rows, forests.quantiles(rows, 10)).groupBy("bins").count().collect()
     assert len(counts) == 10 and all(80 <= r["count"] <= 120 for r in counts)
+
+
+TREES, DEPTH, LEAF, BAG = 5, 3, 4, 0.8
+
+
+def brute_forest(own, listed, held=None):
+    """Trees of (id, label, fold, bins) rows, by recursion."""
+    out = []
+    for tree in range(TREES):
+        seen = forests.in_bag(np.array([i for i, *_ in own]), tree, BAG, 0)
+        used = [(b, [int(label == k) for k in range(CLASSES)]) for (_, label, fold, b), ok in zip(own, seen) if ok and label >= 0 and fold != held]
+        out.append({})
+        if used:
+            grow(used, 1, DEPTH, LEAF, lambda node: forests.asked_features(np.array(sorted(listed)), tree, node, 2, 0).tolist(), CLASSES, out[-1])  # noqa: B023
+    return out
+
+
+def vote(trees, bins):
+    shares = [0.0] * CLASSES
+    for nodes in trees:
+        if nodes:
+            _, _, n, s = nodes[leaf_of(nodes, bins)]
+            shares = [x + y / n for x, y in zip(shares, s)]
+    return max(range(CLASSES), key=lambda k: (round(shares[k], 9), -k))
+
+
+def test_elimination(spark, rows, samples):
+    blocks = forests.packed(forests.binned(samples, forests.equal_width(samples, BINS)))
+    ranked = selection.eliminate(blocks, 5, CLASSES, folds=2, least=1, trees=TREES, per_split=2, leaf=LEAF, bag=BAG, depth=DEPTH)
+    found = {(r.group, r.feature): (r.ranking, r.best) for r in ranked.collect()}
+    score = lambda s, n: sum(float(x) * x for x in s) / n
+    expected = {}
+    for group, own in bins_of(rows).items():
+        means, path = {}, {}
+        for held in (0, 1, None):
+            listed = list(range(5))
+            for size in range(5, 0, -1):
+                trees = brute_forest(own, listed, held)
+                if held is not None:
+                    tested = [(label, vote(trees, b)) for _, label, fold, b in own if fold == held and label >= 0]
+                    if tested:
+                        means.setdefault(size, []).append(sum(a == b for a, b in tested) / len(tested))
+                weight = dict.fromkeys(listed, 0.0)
+                for nodes in trees:
+                    for node, (f, _, n, s) in nodes.items():
+                        if f is not None:
+                            weight[f] += sum(score(nodes[c][3], nodes[c][2]) for c in (2 * node, 2 * node + 1)) - score(s, n)
+                goes = min(listed, key=lambda f: (round(weight[f], 9), -f))
+                listed.remove(goes)
+                if held is None:
+                    path[goes] = size
+        best = max(means, key=lambda size: (round(sum(means[size]) / len(means[size]), 12), -size))
+        expected |= {(group, f): (max(1, size - best + 1), best) for f, size in path.items()}
+    assert found == expected
+    picked = {r.group: r.picked for r in selection.selected(ranked).collect()}
+    assert picked == {g: sorted(f for (h, f), (rank, best) in expected.items() if h == g and rank < 30 - best) for g in {g for g, _ in expected}}
+
+
+def test_permutation_is_one_of_the_whole_group(spark):
+    n = 3000
+    rows = spark.range(n).selectExpr("cast(id % 2 as string) as group", "id", "array(cast(id as int)) as bins").repartition(7)
+    found = selection.permuted(rows, 2).selectExpr("group", "repeat", "id", "other[0] as other").collect()
+    for repeat in range(2):
+        mine = {r.id: r.other for r in found if r.repeat == repeat}
+        assert sorted(mine) == sorted(mine.values()) == list(range(n)) and all(k % 2 == v % 2 for k, v in mine.items())
+        assert sum(k == v for k, v in mine.items()) < 20  # as few stay as chance leaves
+        far = sum(abs(k - v) for k, v in mine.items()) / n
+        assert 0.9 < far / (n / 3) < 1.1  # values come from the whole group, not from near by
+    assert [r.other for r in found if r.repeat == 0] != [r.other for r in found if r.repeat == 1]
+
+
+def test_permutation_drops(spark, rows, samples):
+    known = samples.where("label >= 0")
+    binned = forests.binned(known, forests.equal_width(samples, BINS))
+    forest = forests.grow_forest(forests.packed(binned), CLASSES, TREES, 2, LEAF, BAG, DEPTH)
+    drops = selection.permutation_drops(binned, forest, CLASSES, TREES, DEPTH, repeats=3, block=32)
+    found = {(r.group, r.feature): r.drop for r in drops.collect()}
+    others = {(r.repeat, r.group, r.id): r.other for r in selection.permuted(binned.select("group", "id", "bins"), 3).collect()}
+    for group, own in bins_of(rows).items():
+        own = [o for o in own if o[1] >= 0]
+        trees = brute_forest(own, range(5))
+        if not own:
+            continue
+        base = sum(vote(trees, b) == label for _, label, _, b in own)
+        for f in range(5):
+            right = [sum(vote(trees, [*b[:f], others[r, group, i][f], *b[f + 1 :]]) == label for i, label, _, b in own) for r in range(3)]
+            assert abs(found[group, f] - (base - sum(right) / 3) / len(own)) < 1e-9
