@@ -130,3 +130,29 @@ def test_draws_are_even_and_whole(spark):
     for s, n in sizes.items():
         least = sorted(range(n), key=lambda i: numbers[s, i])[:10]  # noqa: B023
         assert sorted(r.pixel_id for r in drawn if r.stratum == s) == sorted(least)
+
+
+def test_tiles(spark, monkeypatch):
+    """Windows and components across tile borders, negative places, gaps, unknown classes and other columns."""
+    rng = random.Random(8)
+    grid = {(x, y): rng.choice([3, 3, 4, 12, None]) for x in range(-70, 75) for y in range(-3, 4) if rng.random() < 0.9}
+    grid |= {(x, 200): 21 for x in range(-100, 200)}
+    df = spark.createDataFrame([(x, y, c, f"{x}:{y}") for (x, y), c in grid.items()], "x int, y int, class int, name string")
+    near = lambda x, y, r: [grid[p] for p in ((x + i, y + j) for i in range(-r, r + 1) for j in range(-r, r + 1)) if grid.get(p) is not None]
+
+    def mode(values):
+        return min(set(values), key=lambda c: (-values.count(c), c)) if values else None
+
+    found = {(r.x, r.y): (r.focal, r.name, r["class"]) for r in spatial.focal_mode(df, 2).collect()}
+    assert found == {(x, y): (mode(near(x, y, 2)), f"{x}:{y}", c) for (x, y), c in grid.items()}
+    most = {(r.x, r.y): r["class"] for r in spatial.focal_extreme(df, "class", 3, "max").collect()}
+    assert most == {(x, y): max(near(x, y, 3), default=None) for x, y in grid}
+    apart = {(r.x, r.y): r.contrast for r in spatial.contrast(df.where("class is not null"), "class").collect()}
+    for (x, y), c in grid.items():
+        around = [(grid[p] - c) ** 2 for p in ((x + i, y + j) for i in (-1, 0, 1) for j in (-1, 0, 1)) if c is not None and p != (x, y) and grid.get(p) is not None]
+        assert apart.get((x, y)) == (pytest.approx(sum(around) / len(around)) if around else None)
+    sizes = flood(grid)
+    for cap in (5, 250):
+        counted = {(r.x, r.y): (r.conn, r.name) for r in spatial.connected_count(df, cap).collect()}
+        assert counted == {(x, y): (min(cap, sizes[x, y]) if c is not None else None, f"{x}:{y}") for (x, y), c in grid.items()}
+    assert spatial.connected_count(df.limit(0), 5).count() == 0
