@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import areas, tables
 from ..scratch import new_path
 from ..sources import files
+from ..sources import ledger as ledgers
 from .maps import HA
 from .maps import query as _query
 from .views import Views
@@ -83,3 +84,31 @@ def ledger(v: Views):
     path = new_path(v.spark, "ledger")
     files.write_table(v.a.where("class = 22").select("basin", "territory", "year").distinct(), path)
     return tables.missing(v.a.select("basin", "territory", "year").distinct(), v.spark.read.parquet(path))
+
+
+@query("s13_resumed_areas", f"SELECT basin, year, class, {HA} AS area FROM a WHERE class IS NOT NULL GROUP BY ALL")
+def resumed_areas(v: Views):
+    """Areas by (basin, year), made by a run that stops after the early years and one that goes on where it stopped."""
+    path, work = new_path(v.spark, "resumed"), v.a.select("basin", "year").distinct()
+    make = lambda keys: areas.area_by(v.a.join(keys, ["basin", "year"], "left_semi"), "basin", "year", "class")
+    ledgers.run(work.where("year < 1998"), make, path)
+    return ledgers.run(work, make, path, batches=2)
+
+
+@query("w15_window_of_tiles", "SELECT pixel_id, x, y, year, class FROM a WHERE x BETWEEN 7 AND 30 AND y BETWEEN 3 AND 21")
+def window_of_tiles(v: Views):
+    """The profile of a window of a map in tiles."""
+    path = new_path(v.spark, "tiled")
+    files.write_tiled(v.a.select("pixel_id", "x", "y", "year", "class"), path, side=16)
+    return files.read_window(v.spark, path, 7, 3, 30, 21, side=16)
+
+
+@query("s7_whole_registry", ", k AS (SELECT DISTINCT basin, p_size FROM a) SELECT basin AS key, count(*) AS n, sum(p_size)::BIGINT AS total FROM k GROUP BY 1")
+def whole_registry(v: Views):
+    """One JSON object in one file, as registries of basins come."""
+    path = new_path(v.spark, "registry")
+    values = v.a.select("basin", "p_size").distinct().groupBy("basin").agg(F.sort_array(F.collect_list("p_size")).alias("sizes"))
+    entry = F.map_from_entries(F.sort_array(F.collect_list(F.struct("basin", "sizes"))))  # an entry for each basin: some dozens
+    values.agg(F.to_json(entry).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    found = files.load_registry(v.spark, path, "array<int>")
+    return found.select("key", F.size("value").cast("long").alias("n"), F.aggregate("value", F.lit(0).cast("long"), lambda a, x: a + x).alias("total"))

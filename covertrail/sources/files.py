@@ -71,3 +71,37 @@ def selected_bands(ranked: DataFrame, most: int) -> DataFrame:
     kept = ranked.where(F.col("rank") <= most)
     counts = kept.groupBy("basin", "year").agg(F.count("*").alias("limear"))
     return kept.join(counts, ["basin", "year"])
+
+
+def _interleaved(c: Column) -> Column:
+    """The low 21 bits of a number, a zero bit between each two."""
+    bits = c.cast("long").bitwiseAND((1 << 21) - 1)
+    for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+        bits = bits.bitwiseOR(F.shiftleft(bits, shift)).bitwiseAND(mask)
+    return bits
+
+
+def morton(x: Column, y: Column) -> Column:
+    """Place on the Z-shaped curve of whole coordinates from -2**20 on: it rises with x and with y, and what is near lies near."""
+    return _interleaved(x + (1 << 20)).bitwiseOR(F.shiftleft(_interleaved(y + (1 << 20)), 1))
+
+
+def write_tiled(df: DataFrame, path: str, side: int = 1024, rows_per_file: int = 20_000_000) -> None:
+    """A map (x, y, more) in folders by tile, in Morton order of tiles and, inside, of pixels; files are bounded.
+
+    A column named tile is replaced.
+    """
+    tile = morton(F.floor(F.col("x") / side), F.floor(F.col("y") / side))
+    ordered = df.withColumn("tile", tile).withColumn("_at", morton(F.col("x"), F.col("y"))).repartitionByRange("tile", "_at").sortWithinPartitions("tile", "_at").drop("_at")
+    ordered.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).partitionBy("tile").parquet(path)
+
+
+def read_window(spark: SparkSession, path: str, x0: int, y0: int, x1: int, y1: int, side: int = 1024) -> DataFrame:
+    """The pixels of a window (ends included; a point has x0 = x1, y0 = y1) of a map that write_tiled() wrote with this side.
+
+    Only the folders between the window's first and last tile of the curve are listed to be
+    read, and of their files the row groups that can hold the window.
+    """
+    z = lambda x, y: morton(F.lit(x // side), F.lit(y // side))
+    rows = spark.read.parquet(path).where((F.col("tile") >= z(x0, y0)) & (F.col("tile") <= z(x1, y1)))
+    return rows.where(F.col("x").between(x0, x1) & F.col("y").between(y0, y1)).drop("tile")
