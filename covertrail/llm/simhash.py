@@ -40,6 +40,8 @@ WORDS, SIMILARITY = 5, 80
 BANDS, ROWS = 24, 4
 #: Documents (some 30 bytes each) that are broadcast to find their texts; more are joined by shuffle.
 BROADCAST_TEXTS = 500_000
+#: Rounds in which one pair of each text is tried.
+ROUNDS = 3
 #: Shingles that a row of a text knows to stand before its own.
 AHEAD = 64
 
@@ -306,7 +308,9 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _rare_pairs(tangled: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) of tangled (whole, n, root) that may be alike, have other roots and share a rare shingle.
+    """Pairs (a, b, late) of tangled (whole, n, root) that may be alike, have other roots and share a rare shingle.
+
+    late: the sum of the first shared shingle's places.
 
     A text's shingles are put in order of frequency, rarest first. Of alike sets of n
     and m the first shared shingle stands early enough in both, at places i and j, that
@@ -328,7 +332,29 @@ def _rare_pairs(tangled: DataFrame, texts: DataFrame) -> DataFrame:
     left = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("at")) + 1
     room = (100 + SIMILARITY) * left >= SIMILARITY * (F.col("n") + F.col("m"))
     met = early.join(other, "gram").where((F.col("whole") < F.col("b")) & (F.col("root") != F.col("other")) & _fits(F.col("n"), F.col("m")) & room & ~F.arrays_overlap("ahead", "others"))
-    return met.select(F.col("whole").alias("a"), "b").distinct()
+    return met.groupBy(F.col("whole").alias("a"), "b").agg(F.min(F.col("place") + F.col("at")).alias("late"))
+
+
+def _linked_by_rounds(pairs: DataFrame, texts: DataFrame, alike: DataFrame) -> DataFrame:
+    """alike with links (a, b) among pairs (a, b, late) that connect all that the alike ones of them would.
+
+    A round tries one pair of each text, the likeliest: that of the earliest shared
+    shingle. Pairs whose texts are then connected need no trial. After ROUNDS rounds all
+    pairs still open are tried.
+    """
+    open_ = pairs
+    for number in range(ROUNDS + 1):
+        best = open_.groupBy("a").agg(F.min(F.struct("late", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
+        chosen = materialise(best, "chosen") if number < ROUNDS else open_.select("a", "b")
+        alike = alike.unionByName(_verified(chosen, texts))
+        if number == ROUNDS:
+            return alike
+        roots = components(alike)
+        open_ = open_.join(chosen, ["a", "b"], "left_anti")
+        for side in "ab":
+            open_ = open_.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}")), side, "left")
+        apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
+        open_ = materialise(open_.where(apart).select("a", "b", "late"), "open")
 
 
 def copies(prints: DataFrame, docs: DataFrame, text: str) -> DataFrame:
@@ -353,7 +379,7 @@ def copies(prints: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     tangled = materialise(rooted.join(mixed, "key").select("whole", "n", "root").distinct(), "tangled")
     texts = _texts(tangled.select("whole"), prints, docs, text)
     pairs = materialise(_rare_pairs(tangled, texts).join(tried, ["a", "b"], "left_anti"), "pairs")
-    return components(alike.unionByName(_verified(pairs, texts)))
+    return components(_linked_by_rounds(pairs, texts, alike))
 
 
 def dedup(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
