@@ -14,11 +14,13 @@ rows whose bin is at most the cut go to 2k.
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -159,7 +161,7 @@ def _histogram(bins: np.ndarray, node: np.ndarray, asked: Callable[[int], np.nda
 
 
 def _best(listed: np.ndarray, n: np.ndarray, sums: np.ndarray, leaf: int, scored: int | None = None) -> tuple[np.ndarray, ...]:
-    """What choose_splits() says of each node of a whole histogram: feature (-1: none), cut, n, s, left n, left s."""
+    """What choose_splits() says of each node of a whole histogram: feature (-1: none), cut, n, s, left n, left s, gain."""
 
     def score(n: np.ndarray, s: np.ndarray) -> np.ndarray:
         squares = [s[..., k].astype(float) * s[..., k] for k in range(s.shape[-1])[:scored]]
@@ -173,24 +175,40 @@ def _best(listed: np.ndarray, n: np.ndarray, sums: np.ndarray, leaf: int, scored
     best, rows = gain.argmax(axis=1), np.arange(len(n))
     place, cut = best // n.shape[2], best % n.shape[2]
     feature = np.where(gain[rows, best] > 0, listed[rows, place], -1)
-    return feature, np.where(feature >= 0, cut, -1), all_n[:, 0, 0], all_s[:, 0, 0], left_n[rows, place, cut], left_s[rows, place, cut]
+    return feature, np.where(feature >= 0, cut, -1), all_n[:, 0, 0], all_s[:, 0, 0], left_n[rows, place, cut], left_s[rows, place, cut], gain[rows, best]
+
+
+def best_first(nodes: Sequence[int], gains: Sequence[float], leaves: int) -> set[int]:
+    """Those of a tree's split nodes that are split if the leaf of greatest gain (of equal ones the first) always is, until there are so many leaves.
+
+    A node's split depends on its rows alone, so these are part of the tree grown level by level.
+    """
+    gain, kept = dict(zip(nodes, gains)), set()
+    heap = [(-gain[1], 1)] if 1 in gain else []
+    while heap and len(kept) + 1 < leaves:
+        _, node = heapq.heappop(heap)
+        kept.add(node)
+        for child in (2 * node, 2 * node + 1):
+            if child in gain:
+                heapq.heappush(heap, (-gain[child], child))
+    return kept
 
 
 def _grow_here(bins: np.ndarray, asked: Callable[[int], np.ndarray], labels: np.ndarray | None, weights: Sequence[np.ndarray], width: int, leaf: int, depth: int, scored: int | None = None) -> tuple[np.ndarray, ...]:
-    """A tree of rows that are all in this task: node, feature, cut (-1 in leaves), n, s."""
+    """A tree of rows that are all in this task: node, feature, cut (-1 in leaves), n, s, gain."""
     node, found, kept = np.ones(len(bins), np.int64), [], np.arange(len(bins))
     for level in range(depth):
         if not len(kept):
             break
         part = [w[kept] for w in weights]
         distinct, listed, n, sums = _histogram(bins[kept], node[kept], asked, None if labels is None else labels[kept], part, width)
-        feature, cut, n, s, left_n, left_s = _best(listed, n, sums, leaf, scored)
-        found.append((distinct, feature, cut, n, s))
+        feature, cut, n, s, left_n, left_s, gain = _best(listed, n, sums, leaf, scored)
+        found.append((distinct, feature, cut, n, s, gain))
         split = feature >= 0
         if level == depth - 1:
             none = np.full(int(split.sum()), -1)
-            found.append((2 * distinct[split], none, none, left_n[split], left_s[split]))
-            found.append((2 * distinct[split] + 1, none, none, (n - left_n)[split], (s - left_s)[split]))
+            found.append((2 * distinct[split], none, none, left_n[split], left_s[split], none.astype(float)))
+            found.append((2 * distinct[split] + 1, none, none, (n - left_n)[split], (s - left_s)[split], none.astype(float)))
         at = np.searchsorted(distinct, node[kept])
         goes = feature[at] >= 0
         kept, at = kept[goes], at[goes]
@@ -314,7 +332,7 @@ def _whole_forests(blocks: DataFrame, classes: int, trees: int, per_split: int,
                     rows = np.flatnonzero(in_bag(block.ids, tree, bag, seed) & block.known)
                     if len(rows) and len(block.picked):
                         asked = lambda v: asked_features(block.picked, tree, v, per_split, seed)  # noqa: B023, E731
-                        node, feature, cut, n, s = _grow_here(block.bins[rows], asked, block.labels[rows], (), classes, leaf, depth)
+                        node, feature, cut, n, s, _ = _grow_here(block.bins[rows], asked, block.labels[rows], (), classes, leaf, depth)
                         parts.append((np.full(len(node), tree), node, feature, cut, n, s))
                 yield _cells(group, parts, classes)
 
@@ -404,12 +422,13 @@ def gini_importance(forest: DataFrame) -> DataFrame:
 
 
 def with_settings(blocks: DataFrame, settings: DataFrame) -> DataFrame:
-    """Blocks of the groups in settings (group, setting, rate, trees, held), which number from 0 in each group.
+    """Blocks of the groups in settings (group, setting, rate, trees, held, perhaps leaves), which number from 0 in each group.
 
-    A setting is a boosted model: its learning rate, its number of trees a class and the
-    fold that it is not trained on (null: none).
+    A setting is a boosted model: its learning rate, its number of trees a class, the fold
+    that it is not trained on (null: none) and the number of leaves of a tree (null: no limit).
     """
-    row = F.struct(F.col("setting").cast("int").alias("setting"), F.col("rate").cast("double").alias("rate"), F.col("trees").cast("int").alias("trees"), F.coalesce(F.col("held").cast("int"), F.lit(-2)).alias("held"))
+    leaves = F.col("leaves") if "leaves" in settings.columns else F.lit(None)
+    row = F.struct(F.col("setting").cast("int").alias("setting"), F.col("rate").cast("double").alias("rate"), F.col("trees").cast("int").alias("trees"), F.coalesce(F.col("held").cast("int"), F.lit(-2)).alias("held"), F.coalesce(leaves.cast("int"), F.lit(0)).alias("leaves"))
     listed = settings.groupBy("group").agg(F.sort_array(F.collect_list(row)).alias("settings"))
     return blocks.join(listed, "group").withColumn("scores", F.lit(None).cast("array<double>"))
 
@@ -421,7 +440,7 @@ class _Scored(_Block):
         super().__init__(batch, at)
         self.classes, self.depth = classes, depth
         settings = batch.column("settings")[at].values
-        self.rates, self.trees, self.held = (settings.field(k).to_numpy(zero_copy_only=False) for k in ("rate", "trees", "held"))
+        self.rates, self.trees, self.held, self.leaves = (settings.field(k).to_numpy(zero_copy_only=False) for k in ("rate", "trees", "held", "leaves"))
         shape = len(self.ids), len(self.rates), classes
         told = batch.column("scores")[at]
         self.scores = told.values.to_numpy(zero_copy_only=False).reshape(shape).copy() if told.is_valid else np.zeros(shape)
@@ -540,7 +559,11 @@ def _whole_boosting(blocks: DataFrame, classes: int, rounds: int, depth: int, le
                             continue
                         residuals, steps = block.residuals(setting), []
                         for k in range(classes):
-                            node, feature, cut, _, s = _grow_here(block.bins[rows], lambda _: block.picked, None, _gradients(residuals[rows, k]), 2, leaf, depth, 1)  # noqa: B023
+                            node, feature, cut, _, s, gain = _grow_here(block.bins[rows], lambda _: block.picked, None, _gradients(residuals[rows, k]), 2, leaf, depth, 1)  # noqa: B023
+                            if block.leaves[setting]:
+                                split = feature >= 0
+                                kept = best_first(node[split].tolist(), gain[split].tolist(), block.leaves[setting])
+                                feature = np.where(np.isin(node, list(kept)), feature, -1)
                             features, cuts, values = np.full(2 << depth, -1), np.full(2 << depth, -1), np.zeros(2 << depth)
                             features[node], cuts[node] = feature, cut
                             values[node] = np.where(s[:, 1] > 0, block.rates[setting] * ((classes - 1) / classes) * s[:, 0] / np.maximum(s[:, 1], 1), 0.0)
@@ -554,14 +577,31 @@ def _whole_boosting(blocks: DataFrame, classes: int, rounds: int, depth: int, le
     return _with_rounds(blocks, []).select(*_KEPT, "scores", "recent").mapInArrow(run, f"{kinds}, stage int")
 
 
+def _limited(levels: Round, limits: DataFrame, classes: int) -> DataFrame:
+    """The nodes of a round; in trees of settings with a number of leaves, splits that best_first() leaves out are none. limits: group, setting, leaves."""
+
+    def run(key: tuple, nodes: pd.DataFrame) -> pd.DataFrame:
+        kept = best_first(nodes["node"].tolist(), nodes["gain"].tolist(), int(nodes["leaves"].iloc[0]))
+        return pd.DataFrame({"group": key[0], "tree": key[1], "node": sorted(kept)})
+
+    nodes = reduce(DataFrame.unionByName, levels).withColumn("setting", F.expr(f"tree div {classes}").cast("int"))
+    nodes = nodes.join(limits, ["group", "setting"])
+    chosen = nodes.where("feature is not null and leaves > 0").select(*_NODE, "gain", "leaves").groupBy("group", "tree").applyInPandas(run, "group string, tree int, node int")
+    found = nodes.join(chosen.withColumn("kept", F.lit(True)), _NODE, "left")
+    stays = (F.col("leaves") == 0) | F.col("kept")
+    return found.select(*_NODE, *(F.when(stays, F.col(c)).alias(c) for c in ("feature", "cut")), "gain", "n", "s", "left_n", "left_s")
+
+
 def boost(blocks: DataFrame, classes: int, rounds: int, depth: int = 2, leaf: int = 20, bag: float = 0.8, seed: int = 0, stages: Iterable[int] = (), keep: int = 8) -> tuple[DataFrame, dict[int, DataFrame]]:
     """Multiclass boosting of all settings of all groups: scored blocks, and those after each of the stages (numbers of rounds).
 
     A round is one tree for each class, fitted by least squares to the residuals of the
     softmax of the scores. Groups of one block are boosted in one job, each in its task.
     The others take `depth` jobs a round, whatever the number of groups, settings and
-    classes; their scores are written every `keep` rounds and at stages, and worked out in
-    the tasks between. The models are the same either way.
+    classes (and one more if settings limit the leaves); their scores are written every
+    `keep` rounds and at stages, and worked out in the tasks between. The models are the
+    same either way. A tree of limited leaves is the part of its `depth` levels that
+    best-first growth takes.
     """
     recent: list[Round] = []
     staged, last = {}, {*stages}
@@ -570,6 +610,8 @@ def boost(blocks: DataFrame, classes: int, rounds: int, depth: int = 2, leaf: in
     large = blocks.where("of > 1")
     if large.isEmpty():
         return of(rounds), {n: of(n) for n in last}
+    limits = stored(large.select("group", F.inline("settings")).select("group", "setting", "leaves").distinct(), "limits")
+    limited = not limits.where("leaves > 0").isEmpty()
     large = large.select(*_KEPT, "scores")
     for number in range(rounds):
         levels: Round = []
@@ -577,7 +619,7 @@ def boost(blocks: DataFrame, classes: int, rounds: int, depth: int = 2, leaf: in
             nodes = reduce(DataFrame.unionByName, levels) if levels else None
             cells = residual_histograms(large, recent, nodes, number, level, classes, depth, bag, seed)
             levels.append(stored(choose_splits(cells, 2, leaf, scored=1), "boosted"))
-        recent.append(levels)
+        recent.append([stored(_limited(levels, limits, classes), "boosted")] if limited else levels)
         if number + 1 in last or len(recent) == keep or number + 1 == rounds:
             large, recent = stored(scored(large, recent, classes, depth), "scored"), []
         if number + 1 in last:

@@ -14,7 +14,7 @@ from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, Lin
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .areas import majority_key
@@ -154,3 +154,12 @@ def cv_pivot(scores: DataFrame, trees: Iterable[int], top: int = 6) -> DataFrame
     wide = scores.groupBy("rate").pivot("trees", list(trees)).agg(F.avg("score"))
     best: Column = F.greatest(*(F.col(str(t)) for t in trees), F.lit(0.0))
     return wide.withColumn("best", best).orderBy(F.desc("best"), "rate").limit(top)
+
+
+def cv_results(scores: DataFrame, *parameters: str) -> DataFrame:
+    """Parameters with mean_score, std_score (of the population) and rank (1: greatest mean; equal means share a rank) from one score a fold."""
+    found = scores.groupBy(*parameters).agg(F.round(F.avg("score"), 12).alias("mean_score"), F.stddev_pop("score").alias("std_score"))
+    better = found.groupBy("mean_score").agg(F.count("*").alias("n"))
+    # a grid's distinct means, not samples: one small partition
+    rank = F.coalesce(F.sum("n").over(Window.orderBy(F.desc("mean_score")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + 1
+    return found.join(better.select("mean_score", rank.cast("int").alias("rank")), "mean_score").select(*parameters, "mean_score", "std_score", "rank")

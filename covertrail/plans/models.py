@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -112,6 +114,28 @@ def grid(v: Views):
     return ml.cv_pivot(scores, trees)
 
 
+@query("l10_leaf_grid")
+def leaf_grid(v: Views):
+    """Five rates by four numbers of leaves, cross-validated in two folds of four fifths of the samples: mean, deviation, rank; the best one fitted to all of these and tested on the last fifth."""
+    rates, leaves, trees, depth = (0.01, 0.1, 1.0, 5.0, 10.0), (3, 10, 30, 50), 10, 6
+    rows = samples(v).select(F.lit("all").alias("group"), "id", "label", "fold", "features")
+    rows = stored(forests.binned(rows, forests.equal_width(rows, _BINS)), "binned")
+    kinds = "group string, setting int, rate double, leaves int, trees int, held int"
+    grid = [("all", 2 * i + k, rate, most, trees, k) for i, (rate, most) in enumerate(itertools.product(rates, leaves)) for k in range(2)]
+    settings = v.spark.createDataFrame(grid, kinds)
+
+    def judged(rows: DataFrame, settings: DataFrame) -> DataFrame:
+        done, _ = forests.boost(forests.with_settings(forests.packed(rows, block=1024), settings), len(CLASSES), trees, depth=depth, leaf=1, bag=1.0)
+        right = forests.best_classes(done, len(CLASSES)).where("fold = held").groupBy("setting").agg(F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("score"))
+        return right.join(settings, "setting").select("rate", "leaves", "score")
+
+    scores = judged(rows.where("fold < 4").withColumn("fold", F.col("fold") % 2), settings)
+    results = stored(ml.cv_results(scores, "rate", "leaves"), "results")
+    best = results.orderBy("rank", "rate", "leaves").limit(1).select(F.lit("all").alias("group"), F.lit(0).alias("setting"), "rate", "leaves", F.lit(trees).alias("trees"), F.lit(4).alias("held"))
+    tested = judged(rows, stored(best, "best"))
+    return results.join(tested.withColumnRenamed("score", "test_score"), ["rate", "leaves"], "left")
+
+
 @query("l11_class_roc")
 def class_roc(v: Views):
     """Area under each class's ROC over five folds, from the scores of forests that did not see the fold: mean, deviation, number of folds."""

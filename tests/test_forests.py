@@ -5,8 +5,9 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from covertrail.operators import forests, selection
+from covertrail.operators import forests, ml, selection
 
 CLASSES, BINS = 3, 8
 
@@ -59,20 +60,40 @@ def best_split(rows, asked, targets, leaf):
             gain = score(n, sums) + score(len(rows) - n, [t - x for t, x in zip(total, sums)]) - score(len(rows), total)
             if gain > 1e-9 and (best is None or (gain, -f, -cut) > best):
                 best = (gain, -f, -cut)
-    return best and (-best[1], -best[2])
+    return best and (-best[1], -best[2], best[0])
 
 
 def grow(rows, node, depth, leaf, asked, targets, out):
     """rows: (bins, sums). out: node -> (feature, cut, n, sums)."""
     width = len(rows[0][1])
     split = best_split(rows, asked(node), targets, leaf) if node >> depth == 0 else None
-    out[node] = (*(split or (None, None)), len(rows), [sum(s[k] for _, s in rows) for k in range(width)])
+    out[node] = (*(split or (None, None))[:2], len(rows), [sum(s[k] for _, s in rows) for k in range(width)])
     if split:
-        f, cut = split
+        f, cut, _ = split
         for child, side in ((2 * node, [r for r in rows if r[0][f] <= cut]), (2 * node + 1, [r for r in rows if r[0][f] > cut])):
             grow(side, child, depth, leaf, asked, targets, out)
 
 
+def grow_best_first(rows, leaves, depth, leaf, asked, targets):
+    """node -> (feature, cut, n, sums): the leaf of greatest gain is split, one at a time, until there are so many leaves."""
+    out, held = {}, {1: rows}
+    put = lambda node: out.update({node: (None, None, len(held[node]), [sum(s[k] for _, s in held[node]) for k in range(len(rows[0][1]))])})
+    put(1)
+    while len(held) < leaves:
+        splits = {node: best_split(own, asked, targets, leaf) for node, own in held.items() if node >> depth == 0}
+        open_ = [node for node, split in splits.items() if split]
+        if not open_:
+            break
+        node = min(open_, key=lambda v: (-splits[v][2], v))
+        f, cut, _ = splits[node]
+        own = held.pop(node)
+        out[node] = (f, cut, *out[node][2:])
+        for child, side in ((2 * node, [r for r in own if r[0][f] <= cut]), (2 * node + 1, [r for r in own if r[0][f] > cut])):
+            held[child] = side
+            put(child)
+    return out
+
+
 def leaf_of(nodes, bins):
     node = 1
     while nodes[node][0] is not None:
@@ -165,6 +186,56 @@ def test_boosting(spark, rows, samples, block):
     assert near(found, late) and near(early, first) and found != early
 
 
+@pytest.mark.parametrize("block", [64, 4096])
+def test_boosting_with_limited_leaves(spark, rows, samples, block):
+    """Trees of at most so many leaves are those that best-first growth makes, leaf by leaf; settings without a number have all leaves."""
+    settings = [("a:1", 0, 0.3, 2, None, 3), ("a:1", 1, 0.5, 2, 1, 5), ("a:1", 2, 0.5, 2, None, None), ("a:2", 0, 0.4, 2, 0, 2)]
+    depth, leaf = 4, 5
+    blocks = forests.packed(forests.binned(samples, forests.equal_width(samples, BINS)), block=block)
+    blocks = forests.with_settings(blocks, spark.createDataFrame(settings, "group string, setting int, rate double, trees int, held int, leaves int"))
+    done, _ = forests.boost(blocks, CLASSES, 2, depth, leaf, 1.0, seed=1)
+    size = {g: sum(r[0] == g for r in rows) for g, *_ in settings}
+    found = {}
+    for r in done.select("group", "rows.id", "scores", F.size("settings").alias("n")).collect():
+        scores = np.array(r.scores).reshape(len(r.id), r.n, CLASSES)
+        found |= {(r.group, setting, i): scores[at, setting] for at, i in enumerate(r.id) for setting in range(r.n)}
+    assert len(found) == sum(size[g] for g, *_ in settings)
+    sizes = set()
+    for group, setting, rate, trees, held, leaves in settings:
+        own = bins_of(rows)[group]
+        score = {i: [0.0] * CLASSES for i, *_ in own}
+        for _ in range(trees):
+            share = {i: np.exp(np.array(s) - max(s)) / np.exp(np.array(s) - max(s)).sum() for i, s in score.items()}
+            steps = {i: [0.0] * CLASSES for i in score}
+            for k in range(CLASSES):
+                used = []
+                for i, label, fold, b in own:
+                    if fold != held and label >= 0:
+                        r = (label == k) - share[i][k]
+                        used.append((b, [round(r * 2**24), round(abs(r) * (1 - abs(r)) * 2**24)]))
+                out = grow_best_first(used, leaves or 1 << depth, depth, leaf, range(5), 1)
+                sizes.add((setting, group, sum(v[0] is None for v in out.values())))
+                for i, _, _, b in own:
+                    s = out[leaf_of(out, b)][3]
+                    steps[i][k] = rate * (CLASSES - 1) / CLASSES * s[0] / s[1] if s[1] > 0 else 0.0
+            score = {i: [x + y for x, y in zip(s, steps[i])] for i, s in score.items()}
+        assert all(np.allclose(found[group, setting, i], s, rtol=0, atol=1e-5) for i, s in score.items()), (group, setting)
+    assert {(0, "a:1", 3), (1, "a:1", 5), (0, "a:2", 2)} <= sizes and max(n for setting, _, n in sizes if setting == 2) > 5
+
+
+def test_best_first():
+    gains = {1: 5.0, 2: 1.0, 3: 4.0, 4: 9.0, 6: 3.0, 7: 3.0}
+    sets = [sorted(forests.best_first(list(gains), list(gains.values()), n)) for n in range(1, 9)]
+    assert sets == [[], [1], [1, 3], [1, 3, 6], [1, 3, 6, 7], [1, 2, 3, 6, 7], [1, 2, 3, 4, 6, 7], [1, 2, 3, 4, 6, 7]]
+    assert forests.best_first([], [], 4) == set()
+
+
+def test_cv_results(spark):
+    scores = [(0.1, 3, 0.5), (0.1, 3, 0.7), (0.1, 10, 0.8), (0.1, 10, 0.4), (1.0, 3, 0.9), (1.0, 3, 0.9), (1.0, 10, 0.1), (1.0, 10, 0.1)]
+    found = {(r.rate, r.leaves): (r["mean_score"], round(r["std_score"], 9), r["rank"]) for r in ml.cv_results(spark.createDataFrame(scores, "rate double, leaves int, score double"), "rate", "leaves").collect()}
+    assert found == {(0.1, 3): (0.6, 0.1, 2), (0.1, 10): (0.6, 0.2, 2), (1.0, 3): (0.9, 0.0, 1), (1.0, 10): (0.1, 0.0, 4)}
+
+
 def test_no_rows(spark, samples):
     blocks = forests.packed(forests.binned(samples.limit(0), forests.equal_width(samples.limit(0), BINS)))
     assert forests.grow_forest(blocks, CLASSES, 2).count() == 0
