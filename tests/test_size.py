@@ -1,8 +1,11 @@
 """Plans and results that must hold when tables are large."""
 
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
-from covertrail.operators import temporal
+from covertrail.operators import areas, tables, temporal
 from covertrail.plans import catalog
 
 
@@ -28,3 +31,25 @@ def test_densify_of_observed_years(spark):
     assert "Broadcast" not in plan(dense.where("class is not null"))
     found = {(r.pixel_id, r.year): r["class"] for r in dense.collect()}
     assert found == {(p, y): p if y == 1990 + p % 5 else None for p in range(40) for y in range(1990, 1994)}
+
+
+def test_medians_by_part(spark):
+    """The same bits as median(), for keys with none, one, an even and an odd number of values, with nulls; one list for all medians."""
+    rng = random.Random(3)
+    rows = [(k, rng.choice((1, 2, 3, None)), rng.choice((None, rng.uniform(-1, 1), 0.1, 0.7)), rng.uniform(0, 1e-3)) for k in range(30) for _ in range(k % 9 + 1)]
+    df = spark.createDataFrame(rows, "k int, m int, u double, v double")
+    parts = {"": F.lit(True), "_low": F.col("m") <= 1, "_high": F.col("m") > 1}
+    found = areas.medians_by_part(df, ["k"], ["u", "v"], parts)
+    medians = [F.median(F.when(test, F.col(c))).alias(c + part) for part, test in parts.items() for c in "uv"]
+    assert sorted(found.collect()) == sorted(df.groupBy("k").agg(*medians).select(found.columns).collect())
+    assert "percentile" not in plan(catalog.QUERIES["x4_index_pack_seasons"](spark, "/root/testdata/sf0.001")) + plan(found)
+
+
+def test_overlaps_are_merged(spark):
+    """Neither side is broadcast, and a small box stands in one cell of each level that the other side has."""
+    rows = [(i, i % 7 * 1.0, i // 7 * 1.0, i % 7 + i % 3 * 0.5, i // 7 + 0.25 * (i % 5)) for i in range(140)]
+    frame = lambda name: spark.createDataFrame(rows, f"{name} int, x0 double, y0 double, x1 double, y1 double")
+    met = tables.overlaps(frame("a"), frame("b"), finest=1.0)
+    assert "BroadcastHashJoin" not in plan(met)
+    want = [(p[0], q[0]) for p in rows for q in rows if p[1] <= q[3] and q[1] <= p[3] and p[2] <= q[4] and q[2] <= p[4]]
+    assert sorted((r.a, r.b) for r in met.collect()) == sorted(want)
