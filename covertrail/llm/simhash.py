@@ -10,8 +10,9 @@ the number of fingerprints, so that a prefix holds a bounded number of them.
 Within a variant all fingerprints are linked to one, never pair by pair: that keeps
 which fingerprints are connected, in linear space, for groups of any size.
 
-That is op4. dedup(), the pipeline's stage, links documents by exact Jaccard similarity,
-which bands of minimum hashes find: 4 bits are far fewer than similar texts differ in.
+That is op4. dedup(), the pipeline's stage, takes the same ball over fingerprints of
+five-word shingles and checks what it links by exact Jaccard similarity. Similar texts may
+differ in more than 4 bits: bands of minimum hashes and rare shingles find those as well.
 """
 
 from __future__ import annotations
@@ -238,7 +239,7 @@ def shingle_hashes(text: str) -> np.ndarray:
 
 
 def _sketches(text: Column) -> Column:
-    """whole (a hash of all shingles), n (their number) and keys (a hash of each band of minima) of a column."""
+    """whole (a hash of all shingles), n (their number), keys (a hash of each band of minima) and fp (the SimHash) of a column."""
     rng = np.random.default_rng(0)
     salt = rng.integers(0, 2**64, BANDS * ROWS, np.uint64)[:, None]
     times = rng.integers(0, 2**64, BANDS * ROWS, np.uint64)[:, None] | np.uint64(1)
@@ -252,10 +253,11 @@ def _sketches(text: Column) -> Column:
         raw = least.reshape(BANDS, ROWS)
         return [xxhash.xxh64_intdigest(raw[i].tobytes(), i) - (1 << 63) for i in range(BANDS)]
 
-    @F.pandas_udf("whole binary, n int, keys array<long>")
+    @F.pandas_udf("whole binary, n int, keys array<long>, fp long")
     def run(texts: pd.Series) -> pd.DataFrame:
         sets = [shingle_hashes(t) for t in texts]
-        return pd.DataFrame({"whole": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], "n": [len(s) for s in sets], "keys": [keys(s) for s in sets]})
+        prints = np.array([fingerprint(t, WORDS) for t in texts], np.uint64).astype(np.int64)
+        return pd.DataFrame({"whole": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], "n": [len(s) for s in sets], "keys": [keys(s) for s in sets], "fp": prints})
 
     return run(text)
 
@@ -307,10 +309,8 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return materialise(both.where(_alike(F.col("x"), F.col("y"))).select("a", "b"), "alike")
 
 
-def _rare_pairs(tangled: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b, late) of tangled (whole, n, root) that may be alike, have other roots and share a rare shingle.
-
-    late: the sum of the first shared shingle's places.
+def _rare_shingles(tangled: DataFrame, texts: DataFrame) -> DataFrame:
+    """tangled (whole, n, root) with gram, place and ahead for each rare shingle.
 
     A text's shingles are put in order of frequency, rarest first. Of alike sets of n
     and m the first shared shingle stands early enough in both, at places i and j, that
@@ -327,11 +327,43 @@ def _rare_pairs(tangled: DataFrame, texts: DataFrame) -> DataFrame:
     leasts = early.groupBy("whole").agg(F.min("place").alias("least"))
     firsts = early.join(leasts, "whole").groupBy("whole", "least").agg(ahead.alias("firsts"))
     before = F.slice("firsts", F.lit(1), F.least(F.col("place") - F.col("least"), F.lit(AHEAD)))
-    early = materialise(early.join(firsts, "whole").select("whole", "n", "root", "gram", "place", before.alias("ahead")), "early")
-    other = early.select("gram", F.col("whole").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"), F.col("place").alias("at"), F.col("ahead").alias("others"))
+    return materialise(early.join(firsts, "whole").select("whole", "n", "root", "gram", "place", before.alias("ahead")), "early")
+
+
+def _may_be_alike() -> Column:
+    """Whether texts (n, root, place) and (m, other, at) of one shingle, the first they share, have other roots and room for SIMILARITY."""
     left = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("at")) + 1
     room = (100 + SIMILARITY) * left >= SIMILARITY * (F.col("n") + F.col("m"))
-    met = early.join(other, "gram").where((F.col("whole") < F.col("b")) & (F.col("root") != F.col("other")) & _fits(F.col("n"), F.col("m")) & room & ~F.arrays_overlap("ahead", "others"))
+    return (F.col("root") != F.col("other")) & _fits(F.col("n"), F.col("m")) & room
+
+
+def _linked_by_firsts(early: DataFrame, texts: DataFrame, alike: DataFrame, tried: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """early with roots by more links, alike with these links, tried with the pairs (a, b) that gave them.
+
+    In a round each text is compared with one: the first of a rare shingle's texts, of the
+    shingle where both stand earliest. A group of near copies that share a shingle so
+    becomes one in linear steps, and what follows pairs only texts of other groups.
+    """
+    for _ in range(ROUNDS):
+        best = F.min(F.struct("place", "whole", "n", "root")).alias("f")
+        firsts = early.groupBy("gram").agg(best, F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
+        firsts = firsts.select("gram", F.col("f.whole").alias("first"), F.col("f.n").alias("m"), F.col("f.root").alias("other"), F.col("f.place").alias("at"))
+        met = early.join(firsts, "gram").where(_may_be_alike()).select("whole", F.least("whole", "first").alias("a"), F.greatest("whole", "first").alias("b"), (F.col("place") + F.col("at")).alias("late"))
+        met = met.join(tried, ["a", "b"], "left_anti").groupBy("whole").agg(F.min(F.struct("late", "a", "b")).alias("best"))
+        chosen = materialise(met.select("best.a", "best.b").distinct(), "chosen")
+        alike, tried = alike.unionByName(_verified(chosen, texts)), tried.unionByName(chosen)
+        roots = components(alike).withColumnsRenamed({"node": "whole", "root": "now"})
+        early = materialise(early.join(roots, "whole", "left").withColumn("root", F.coalesce("now", "root")).drop("now"), "early")
+    return early, alike, tried
+
+
+def _rare_pairs(early: DataFrame) -> DataFrame:
+    """Pairs (a, b, late) of early's texts that may be alike, have other roots and share a rare shingle.
+
+    late: the sum of the first shared shingle's places.
+    """
+    other = early.select("gram", F.col("whole").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"), F.col("place").alias("at"), F.col("ahead").alias("others"))
+    met = early.join(other, "gram").where((F.col("whole") < F.col("b")) & _may_be_alike() & ~F.arrays_overlap("ahead", "others"))
     return met.groupBy(F.col("whole").alias("a"), "b").agg(F.min(F.col("place") + F.col("at")).alias("late"))
 
 
@@ -358,18 +390,21 @@ def _linked_by_rounds(pairs: DataFrame, texts: DataFrame, alike: DataFrame) -> D
 
 
 def copies(prints: DataFrame, docs: DataFrame, text: str) -> DataFrame:
-    """node and root of components() over all pairs of prints (whole, n, keys, best) that are alike.
+    """node and root of components() over all pairs of prints (whole, n, keys, fp, best) that are alike.
 
-    Prints with an equal band are compared: at SIMILARITY itself 3 pairs in a million
+    The ball's groups() of fingerprints come first: each print is compared with the first
+    of its group. Prints with an equal band are compared too: at SIMILARITY itself 3 pairs in a million
     have none. In a band all are first compared with one, so groups of true copies stay
     linear. Prints of bands that this has left in different components are then paired
-    where they share a rare shingle, never all with all.
+    where they share a rare shingle, first with one text of it, never all with all.
     """
+    ball = groups(prints.select("whole", "n", "fp"), "whole").where(F.col("whole") != F.col("component_id"))
+    ball = ball.select(F.col("component_id").alias("a"), F.col("whole").alias("b"))
     keys = prints.select("whole", "n", F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.min("whole").alias("first"), F.max("whole").alias("last"), F.min_by("n", "whole").alias("m")).where("first != last").drop("last")
     members = materialise(keys.join(materialise(shared, "shared"), "key"), "members")
     tried = members.where((F.col("whole") != F.col("first")) & _fits(F.col("n"), F.col("m"))).select(F.col("first").alias("a"), F.col("whole").alias("b"))
-    tried = materialise(tried.distinct(), "pairs")
+    tried = materialise(tried.unionByName(ball).distinct(), "pairs")
     ends = tried.select("a").union(tried.select("b")).distinct().withColumnRenamed("a", "whole")
     alike = _verified(tried, _texts(ends, prints, docs, text))
 
@@ -378,7 +413,8 @@ def copies(prints: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     mixed = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("key")
     tangled = materialise(rooted.join(mixed, "key").select("whole", "n", "root").distinct(), "tangled")
     texts = _texts(tangled.select("whole"), prints, docs, text)
-    pairs = materialise(_rare_pairs(tangled, texts).join(tried, ["a", "b"], "left_anti"), "pairs")
+    early, alike, tried = _linked_by_firsts(_rare_shingles(tangled, texts), texts, alike, tried)
+    pairs = materialise(_rare_pairs(early).join(tried, ["a", "b"], "left_anti"), "pairs")
     return components(_linked_by_rounds(pairs, texts, alike))
 
 
@@ -394,7 +430,7 @@ def dedup(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     hashed = F.xxhash64(text_of(text))
     marked = materialise(docs.select(F.col(id).alias("id"), hashed.alias("_hash"), _sketches(text_of(text)).alias("s")).select("id", "_hash", "s.*"), "sketches")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_hash")).alias("best")
-    prints = materialise(marked.groupBy("whole").agg(first, F.first("n").alias("n"), F.first("keys").alias("keys")), "prints")
+    prints = materialise(marked.groupBy("whole").agg(first, F.first("n").alias("n"), F.first("keys").alias("keys"), F.min("fp").alias("fp")), "prints")
     joined = copies(prints, docs, text)
     known = prints.join(joined.withColumnRenamed("node", "whole"), "whole", "left").withColumn("root", F.coalesce("root", "whole"))
     best = known.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.id").alias("_id"), F.col("best._hash").alias("_hash"))
