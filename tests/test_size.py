@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from covertrail.operators import areas, tables, temporal
-from covertrail.plans import catalog
+from covertrail.plans import catalog, points
+from covertrail.plans.views import Views
 
 
 def plan(df):
@@ -53,3 +54,23 @@ def test_overlaps_are_merged(spark):
     assert "BroadcastHashJoin" not in plan(met)
     want = [(p[0], q[0]) for p in rows for q in rows if p[1] <= q[3] and q[1] <= p[3] and p[2] <= q[4] and q[2] <= p[4]]
     assert sorted((r.a, r.b) for r in met.collect()) == sorted(want)
+
+
+def broadcast(text):
+    """The parts of a plan that are broadcast, without what lies below an aggregate: its groups are what is sent."""
+    lines = text.splitlines()
+    depth = [len(x) - len(x.lstrip(" :+-")) for x in lines]
+    for i in (i for i, x in enumerate(lines) if "BroadcastExchange" in x):
+        part = lines[i + 1 : next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))]
+        yield part[: next((j for j, x in enumerate(part) if "Aggregate" in x), len(part))]
+
+
+@pytest.mark.parametrize("name", "a16_disagreement a16_overall a17_class_accuracy a18_stacked_matrices a20_delta_wide j4_sample_at_points j9_m13_missing_work j11_l13_band_registry m2_stratified".split())
+def test_only_groups_are_broadcast(spark, name):
+    found = plan(catalog.QUERIES[name](spark, "/root/testdata/sf0.001"))
+    assert "Generate explode" in found and not any("Generate" in x or "Scan" in x for part in broadcast(found) for x in part)
+
+
+def test_scored_points_are_not_broadcast(spark):
+    """l11_roc and a22_auc_mean_std store their scores while a plan is built, so the step before is held."""
+    assert "Broadcast" not in plan(points._scored(Views(spark, "/root/testdata/sf0.001")))
