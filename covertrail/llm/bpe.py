@@ -8,8 +8,10 @@ behind a label lost, and when. A state's arcs are then looked up through the lab
 right parts (copies of copies) and the arc's left parts (arcs beside arcs), no further
 back than the time of each.
 
-Every beginning of a word is accepted in one way only, so a word is read by trying the
-arcs whose bytes come next, and a place once found to lead nowhere is never tried again.
+Every beginning of a word is accepted in one way only. So the last arc of a word is the
+one label at its end that leaves the state which the bytes before it lead to; the ways of
+beginnings are remembered, as words share them. A long word is read forwards by trying
+the arcs whose bytes come next, and a place once found to lead nowhere is never tried again.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ import json
 import re
 import struct
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,11 +36,13 @@ _WHITE = r"\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3
 _CHUNKS = re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
 _INNER = re.compile(f"[{_WHITE}]")
 #: White space before a space, or a space at the end: there a space does not begin white space or belong to what follows.
-_WIDE = re.compile(f"[{_WHITE}] | $")
+_WIDE = re.compile(f" (?:(?<=[{_WHITE}] )|$)")
 #: Words that can be told apart without the library: a line end; a space and letters up to U+024F; marks.
 _LATIN = re.compile(r"(\n?)( ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+)([.,;:!?)]*)")
 #: Chunks that a worker remembers, and the longest of them.
 KNOWN, KNOWN_CHARS = 250_000, 48
+#: Bytes at the end of a word by which the labels that it may end with are remembered.
+TAIL = 4
 _NEVER = 1 << 62
 
 
@@ -61,7 +66,7 @@ class Automaton:
         self.left: dict[int, int] = {}
         self.right: dict[int, int] = {}
         self.born: dict[int, int] = {}
-        self.lost: dict[tuple[int, int], int] = {}  # (label, arc): when the state behind the label lost it
+        self.lost: dict[int, dict[int, int]] = {}  # label: the arcs that the state behind it lost, and when
         self._arcs: dict[int, bool] = {}
         live = [i for token, i in vocabulary.items() if len(token) == 1]
         for time, pair in enumerate(model["merges"]):
@@ -73,15 +78,25 @@ class Automaton:
                 live.append(ab)
         self._arcs.clear()
         self.labels = {self.tokens[i]: i for i in live}
+        self.coded = {i: struct.pack("<I", i) for i in self.tokens}
         self.reach: dict[bytes, int] = {}  # the longest label that begins with two bytes
-        for label in self.labels:
+        self.longer: dict[bytes, bytes] = {}  # ids of labels longer than TAIL
+        sizes: dict[bytes, set[int]] = {}
+        for label, i in self.labels.items():
             self.reach[label[:2]] = max(self.reach.get(label[:2], 1), len(label))
+            if len(label) > TAIL:
+                self.longer[label] = self.coded[i]
+                sizes.setdefault(label[-TAIL:], set()).add(len(label))
+        self.back = {tail: tuple(sorted(some, reverse=True)) for tail, some in sizes.items()}
+        self._ways: dict[bytes, bytes] = {}
+        self._ends: dict[bytes, bool] = {}
+        self._tails: dict[bytes, tuple[tuple[int, bytes | None], ...]] = {}
 
     def _splice(self, a: int, b: int, ab: int, time: int) -> bool:
         """Put in the gadget of a merge; False if no arc b leaves the state behind a, so that ab is never read."""
         there = self._leaves(a, b, time)
         if there:
-            self.lost[a, b] = time
+            self.lost.setdefault(a, {})[b] = time
         self.left[ab], self.right[ab], self.born[ab] = a, b, time
         return there
 
@@ -89,14 +104,16 @@ class Automaton:
         """Whether the state behind a label has an arc, as it was before a time."""
         copied = before
         while True:
-            part, added = arc, _NEVER
-            while True:
-                when = self.lost.get((behind, part), _NEVER)
-                if when < copied and when <= added:
-                    return False
-                if part not in self.born:
-                    break
-                part, added = self.left[part], self.born[part]
+            lost = self.lost.get(behind)
+            if lost:
+                part, added = arc, _NEVER
+                while True:
+                    when = lost.get(part, _NEVER)
+                    if when < copied and when <= added:
+                        return False
+                    if part not in self.born:
+                        break
+                    part, added = self.left[part], self.born[part]
             if behind not in self.born:
                 return True
             behind, copied = self.right[behind], min(copied, self.born[behind])
@@ -136,6 +153,47 @@ class Automaton:
                 return path
             behind, size = arc, min(reach.get(word[place : place + 2], 1), end - place)
 
+    def ids(self, word: bytes) -> bytes:
+        """The ids on the one way through a short word; the ways through its beginnings are remembered."""
+        way = self._ways.get(word)
+        if way is None:
+            for held in (self._ways, self._ends, self._tails):
+                if len(held) >= KNOWN:
+                    held.clear()
+            way = self._way(word) if word else b""
+        return way
+
+    def _way(self, word: bytes) -> bytes:
+        """The way through a beginning not met before: arcs are tried from the longest label at its end."""
+        ways, ends, tail = self._ways, self._ends, word[-TAIL:]
+        last = self._tails.get(tail)
+        if last is None:
+            last = self._tails[tail] = self._last(tail)
+        for size, id in last:
+            if id is None:
+                id = self.longer.get(word[-size:])
+                if id is None:
+                    continue
+            start = word[:-size]
+            if not start:
+                ways[word] = id
+                return id
+            before = ways.get(start) or self._way(start)
+            key = before[-4:] + id
+            leaves = ends.get(key)
+            if leaves is None:
+                leaves = ends[key] = self._leaves(*struct.unpack("<II", key))
+            if leaves:
+                way = ways[word] = before + id
+                return way
+        raise ValueError("a byte without a token")
+
+    def _last(self, tail: bytes) -> tuple[tuple[int, bytes | None], ...]:
+        """Sizes and ids of the labels that a word with this end may end with, longest first; of those longer than the end, sizes only."""
+        more = [(size, None) for size in self.back.get(tail, ())]
+        fit = [(size, self.labels.get(tail[-size:])) for size in range(len(tail), 0, -1)]
+        return (*more, *((size, self.coded[arc]) for size, arc in fit if arc is not None))
+
 
 class Encoder(dict):
     """Ids of texts, as little-endian unsigned 32-bit integers.
@@ -148,9 +206,8 @@ class Encoder(dict):
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.automaton = automaton
-        self.coded = {i: struct.pack("<I", i) for i in automaton.tokens}
+        self.coded = automaton.coded
         self.earlier: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
         names = sorted(automaton.special, key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
         self.splitter = ByteLevel(add_prefix_space=False)
@@ -158,9 +215,10 @@ class Encoder(dict):
     def __missing__(self, piece: str) -> bytes:
         out = self.earlier.get(piece)
         if out is None:
-            if _INNER.search(piece):
+            told = _LATIN.fullmatch(" " + piece)
+            if not told and _INNER.search(piece):
                 return b"".join(map(self._chunk, _CHUNKS.findall(" " + piece)))
-            out = self._new(" " + piece)
+            out = self._latin(told) if told else self._new(" " + piece)
         if len(piece) <= KNOWN_CHARS:
             if len(self) >= KNOWN:
                 self.earlier = self.copy()
@@ -175,18 +233,20 @@ class Encoder(dict):
         """The ids of a chunk not met before."""
         told = _LATIN.fullmatch(chunk)
         if told:
-            return b"".join([self._word(word) for word in told.groups() if word])
+            return self._latin(told)
         return b"".join([self._word(chunk[begin:end]) for _, (begin, end) in self.splitter.pre_tokenize_str(chunk)])
 
+    def _latin(self, told: re.Match) -> bytes:
+        line, word, marks = told.groups()
+        out = self._word(word)
+        if marks:
+            out += self._word(marks)
+        return self._word(line) + out if line else out
+
     def _word(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            ids = b"".join(map(self.coded.__getitem__, self.automaton.read(word.encode())))
-            if len(word) <= KNOWN_CHARS:
-                if len(self.words) >= KNOWN:
-                    self.words.clear()
-                self.words[word] = ids
-        return ids
+        if len(word) <= KNOWN_CHARS:
+            return self.automaton.ids(word.encode())
+        return b"".join(map(self.coded.__getitem__, self.automaton.read(word.encode())))
 
     def ids(self, text: str) -> bytes:
         if self.special is None or not self.special.search(text):
@@ -201,9 +261,22 @@ class Encoder(dict):
         return b"".join([*map(self._new, _CHUNKS.findall(first)), *map(self.__getitem__, rest)])
 
 
-def text_of_ids(ids: bytes, tokens: dict[int, bytes]) -> str:
-    """The labels' bytes, one after another; what is no UTF-8 becomes U+FFFD, unknown ids nothing."""
-    return b"".join(map(lambda i: tokens.get(i, b""), np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+def table_of(tokens: dict[int, bytes]) -> np.ndarray:
+    """The tokens as an array by id; ids without a token, and the last one, have no bytes."""
+    table = np.full(max(tokens, default=-1) + 2, b"", object)
+    for i, token in tokens.items():
+        table[i] = token
+    return table
+
+
+def text_of_ids(ids: bytes, tokens: dict[int, bytes] | np.ndarray) -> str:
+    """The labels' bytes, one after another; what is no UTF-8 becomes U+FFFD, unknown ids nothing. tokens may be their table_of()."""
+    at = np.frombuffer(ids, "<u4")
+    if isinstance(tokens, dict):
+        parts = map(tokens.get, at.tolist(), repeat(b""))
+    else:
+        parts = tokens[np.minimum(at, len(tokens) - 1)].tolist()
+    return b"".join(parts).decode("utf-8", "replace")
 
 
 _encoders: dict[int, Encoder] = {}
@@ -241,10 +314,11 @@ def decode(encoded: DataFrame, definition: str, id: str = "doc_id") -> DataFrame
     shared = encoded.sparkSession.sparkContext.broadcast(Automaton(definition).tokens)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = table_of(shared.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 some = batch.slice(at, 256)
-                texts = pa.array([text_of_ids(ids or b"", shared.value) for ids in some.column(1).to_pylist()], pa.string())
+                texts = pa.array([text_of_ids(ids or b"", table) for ids in some.column(1).to_pylist()], pa.string())
                 yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), texts], names=["k", "ids", "decoded"])
 
     kind = encoded.schema[id].dataType.simpleString()

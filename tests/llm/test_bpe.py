@@ -45,6 +45,46 @@ def test_only_arcs_of_the_automaton_are_read(definition):
         assert automaton._leaves(a, b) == (library.encode(text, add_special_tokens=False).ids == [a, b])
 
 
+def test_new_words_take_few_lookups(definition):
+    """A word not met before is read from what is known of its beginnings, not by trying every size at every place."""
+
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *key):
+            Counted.asked += 1
+            return super().get(*key)
+
+    automaton, library, rng = bpe.Automaton(definition), tokenizers.Tokenizer.from_str(definition), random.Random(5)
+    for name in {"labels", "longer"} & set(vars(automaton)):
+        setattr(automaton, name, Counted(getattr(automaton, name)))
+    encoder, parts = bpe.Encoder(automaton), "th er tion eau ché ing ble wh an re ó ciña nd ou ß keit".split()
+    words = ["".join(rng.choices(parts, k=rng.randint(2, 6))) for _ in range(5000)]
+    for word in words:
+        assert ids(encoder, "a " + word) == library.encode("a " + word, add_special_tokens=False).ids, word
+    assert Counted.asked < 8 * len(words)
+
+
+def test_both_ways_of_reading_a_word_agree(definition, monkeypatch):
+    monkeypatch.setattr(bpe, "KNOWN", 300)
+    automaton, rng = bpe.Automaton(definition), random.Random(6)
+    tokens = sorted(automaton.tokens[i] for i in automaton.labels.values())
+    words = [b"".join(rng.choices(tokens, k=rng.randint(0, 8))) for _ in range(3000)]
+    words += [bytes(rng.choices(b"aeinrst \xc3\xa9=-", k=rng.randint(1, 190))) for _ in range(1000)]
+    for word in words:
+        assert np.frombuffer(automaton.ids(word), "<u4").tolist() == automaton.read(word), word
+
+
+def test_decoding_by_a_table(definition):
+    tokens = bpe.Automaton(definition).tokens
+    table, some, last = bpe.table_of(tokens), list(range(0, 50_000, 7)), max(tokens)
+    for given in ([], [0], some, [last, last + 1, last + 2, 2**32 - 1, 5], [200, 130, 131]):
+        packed = np.array(given, "<u4").tobytes()
+        expected = b"".join(tokens.get(i, b"") for i in given).decode("utf-8", "replace")
+        assert bpe.text_of_ids(packed, table) == bpe.text_of_ids(packed, tokens) == expected
+    assert bpe.text_of_ids(np.array([3], "<u4").tobytes(), bpe.table_of({})) == ""
+
+
 def test_no_other_kind_of_tokenizer(definition):
     with pytest.raises(ValueError):
         bpe.Automaton(definition.replace('"use_regex":true', '"use_regex":false').replace('"use_regex": true', '"use_regex": false'))
