@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from covertrail.operators import areas, tables, temporal
-from covertrail.plans import catalog, points
+from covertrail.plans import catalog, models, points
 from covertrail.plans.views import Views
 
 
@@ -74,3 +74,10 @@ def test_only_groups_are_broadcast(spark, name):
 def test_scored_points_are_not_broadcast(spark):
     """l11_roc and a22_auc_mean_std store their scores while a plan is built, so the step before is held."""
     assert "Broadcast" not in plan(points._scored(Views(spark, "/root/testdata/sf0.001")))
+
+
+def test_scenes_meet_merged_maps(spark):
+    """p11_j1_logistic broadcasts its statistics alone; samples of models are merged too."""
+    found = plan(catalog.QUERIES["p11_j1_logistic"](spark, "/root/testdata/sf0.001"))
+    assert not any("Generate" in x or "Scan" in x for part in broadcast(found) for x in part)
+    assert "Broadcast" not in plan(models.basin_samples(Views(spark, "/root/testdata/sf0.001")))
