@@ -332,3 +332,36 @@ def test_permutation_drops(spark, rows, samples):
         for f in range(5):
             right = [sum(vote(trees, [*b[:f], others[r, group, i][f], *b[f + 1 :]]) == label for i, label, _, b in own) for r in range(3)]
             assert abs(found[group, f] - (base - sum(right) / 3) / len(own)) < 1e-9
+
+
+def test_packed_blocks_are_dealt_out(spark, samples):
+    """Blocks of small groups stand in files of their own: together they would be one task's work."""
+    blocks = forests.packed(forests.binned(samples, forests.equal_width(samples, BINS)))
+    assert {r["of"] for r in blocks.collect()} == {1} and [r.group for r in blocks.orderBy("number").collect()] == ["a:1", "a:2", "b:1"]
+    assert blocks.select(F.input_file_name()).distinct().count() == 3
+    dealt = forests._dealt(forests.without_folds(blocks, 2))
+    assert sorted(r["n"] for r in dealt.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()) == [1] * 9
+
+
+@pytest.mark.parametrize("trees", [1, 7, 40])
+def test_trees_side_by_side(spark, samples, trees):
+    """However trees are dealt over tasks, they are those that grow level by level over several blocks; all features or some for each split."""
+    binned = forests.binned(samples, forests.equal_width(samples, BINS))
+    for per_split in (2, 5):
+        told = [{(r.group, r.tree, r.node): (r.feature, r.cut, r.n, r.s) for r in forests.grow_forest(forests.packed(binned, block=block), CLASSES, trees, per_split, 3, 0.8, 4).collect()} for block in (None, 64)]
+        assert told[0] == told[1] and len({t for _, t, _ in told[0]}) == trees
+
+
+@pytest.mark.parametrize("leaves", [None, 3])
+def test_boosted_classes(spark, samples, leaves):
+    """What settings say one by one, at stages too, is what scored blocks of all settings say; held_out leaves the fold that was not seen."""
+    settings = [("a:1", 0, 0.3, 3, None, leaves), ("a:1", 1, 0.5, 2, 1, leaves), ("a:2", 0, 0.1, 3, 0, leaves)]
+    settings = spark.createDataFrame(settings, "group string, setting int, rate double, trees int, held int, leaves int")
+    binned = forests.binned(samples, forests.equal_width(samples, BINS))
+    for block in (None, 64):
+        blocks = forests.with_settings(forests.packed(binned, block=block), settings)
+        done, staged = forests.boost(blocks, CLASSES, 3, depth=3, leaf=5, stages=(1,))
+        every = {(s, tuple(r)) for s, rows in {**staged, 3: done}.items() for r in forests.best_classes(rows, CLASSES).collect()}
+        plain, held = (forests.boosted_classes(blocks, CLASSES, 3, depth=3, leaf=5, stages=(1,), held_out=h).collect() for h in (False, True))
+        assert {(r.stage, tuple(r)[:-1]) for r in plain} == every and len(plain) == len(every) == 2 * (200 * 2 + 90)
+        assert {tuple(r) for r in held} == {tuple(r) for r in plain if r.fold == r.held} and len(held) == 2 * (100 + 45)
