@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..scratch import stored
-from .forests import _Block, _Forest, _with_forest, classify, gini_importance, grow_forest, without_folds
+from .forests import _Block, _dealt, _Forest, _forest_here, _with_forest, classify, gini_importance, grow_forest, without_folds
 
 
 def eliminate(blocks: DataFrame, features: int, classes: int, folds: int = 3, least: int = 1, **forest) -> DataFrame:
@@ -23,11 +23,64 @@ def eliminate(blocks: DataFrame, features: int, classes: int, folds: int = 3, le
     the features left, the least important one (the last of those alike) goes. The mean
     accuracy on the folds left out gives the number of features to keep, `best` (the least
     of those alike, `least` or more). Features in the whole group's elimination at that
-    size have ranking 1, the others count from 2, the last to go first. The state is a
-    table; a round takes a few jobs, whatever the number of groups.
+    size have ranking 1, the others count from 2, the last to go first. Groups of one block
+    are eliminated in one job, each run of one in its task. For the others the state is a
+    table, and a round takes a few jobs, whatever the number of groups; results are alike.
     """
+    runs = without_folds(blocks, folds)
+    done = stored(_whole_runs(runs.where("of = 1"), features, classes, least, **forest), "eliminated")
+    scores, gone = [done.select("group", "size", "score").where("score is not null")], [done.select("group", "feature", "size")]
+    large = runs.where("of > 1").drop("picked")
+    if not large.isEmpty():
+        large = stored(large, "elimination")
+        more, out = _eliminate_by_round(large, features, classes, least, **forest)
+        scores, gone = scores + more, gone + out
+    base = F.substring_index("group", "|", 1).alias("group")
+    means = _union(scores).select(base, "size", "score").groupBy("group", "size").agg(F.round(F.avg("score"), 12).alias("score"))
+    best = means.groupBy("group").agg(F.max(F.struct("score", (-F.col("size")).alias("size")))["size"].alias("best"))
+    left_at = _union(gone).where(F.col("group").endswith("|")).select(base, "feature", "size")
+    ranking = F.greatest(F.lit(1), F.col("size") + F.col("best") + 1).cast("int")  # best is negative here
+    return left_at.join(best, "group").select("group", "feature", ranking.alias("ranking"), (-F.col("best")).alias("best"))
+
+
+def _whole_runs(runs: DataFrame, features: int, classes: int, least: int, trees: int, depth: int, per_split: int = 15, leaf: int = 40, bag: float = 0.8, seed: int = 0) -> DataFrame:
+    """group, size, feature, score of runs of one block, each eliminated from first to last in its task.
+
+    feature is the one that goes at that size (those that stay have the size least - 1),
+    score the accuracy on the fold left out, null where there is none.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                block, group = _Block(batch, at), batch.column("group")[at].as_py()
+                tested = np.flatnonzero((block.folds == batch.column("held")[at].as_py()) & (block.labels >= 0))
+                bins, labels = block.bins[tested], block.labels[tested]
+                left, found = np.arange(features), []
+                for size in range(features, least - 1, -1):
+                    grown = list(_forest_here(block, left, range(trees), classes, per_split, leaf, bag, depth, seed))
+                    model = _Forest.of(grown, trees, depth, classes)
+                    score = None
+                    if len(tested) and grown:
+                        total = np.zeros((len(tested), classes))
+                        for tree in range(trees):
+                            total += model.votes(bins, [tree])[0]
+                        score = int((total.argmax(axis=1) == labels).sum()) / len(tested)
+                    importance = np.round(model.importance(features)[left], 6)
+                    goes = left[np.lexsort((-left, importance))[0]]
+                    found.append((size, int(goes), score))
+                    left = left[left != goes]
+                found += [(least - 1, int(f), None) for f in left]
+                sizes, gone, scores = zip(*found)
+                columns = [pa.array([group] * len(found), pa.string()), pa.array(sizes, pa.int32()), pa.array(gone, pa.int32()), pa.array(scores, pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["group", "size", "feature", "score"])
+
+    return _dealt(runs).select("group", "rows", "picked", "held").mapInArrow(run, "group string, size int, feature int, score double")
+
+
+def _eliminate_by_round(runs: DataFrame, features: int, classes: int, least: int, **forest) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Scores (group, size, score) and features that go (group, feature, size), by round, of runs of several blocks: a round of all runs takes a few jobs."""
     every = F.sequence(F.lit(0), F.lit(features - 1))
-    runs = stored(without_folds(blocks.withColumn("picked", every), folds).drop("picked"), "elimination")
     left = runs.select("group").distinct().select("group", F.explode(every).alias("feature"))
     rounds, scores = [], []
     for size in range(features, least - 1, -1):
@@ -39,18 +92,12 @@ def eliminate(blocks: DataFrame, features: int, classes: int, folds: int = 3, le
         right = (F.col("prediction") == F.col("label")).cast("long")
         by_fold = tested.where(F.col("fold") == own).groupBy("group").agg(F.sum(right).alias("right"), F.count("*").alias("n"))
         scores.append(stored(by_fold.select("group", F.lit(size).alias("size"), (F.col("right") / F.col("n")).alias("score")), "scores"))
-        rated = left.join(gini_importance(model), ["group", "feature"], "left").select("group", "feature", F.coalesce("importance", F.lit(0.0)).alias("importance"))
+        rated = left.join(gini_importance(model), ["group", "feature"], "left").select("group", "feature", F.round(F.coalesce("importance", F.lit(0.0)), 6).alias("importance"))
         order = Window.partitionBy("group").orderBy("importance", F.desc("feature"))
         marked = stored(rated.select("group", "feature", (F.row_number().over(order) == 1).alias("goes")), "marked")
         rounds.append(marked.where("goes").select("group", "feature", F.lit(size).alias("size")))
         left = marked.where("not goes").select("group", "feature")
-    base = F.substring_index("group", "|", 1).alias("group")
-    means = _union(scores).select(base, "size", "score").groupBy("group", "size").agg(F.round(F.avg("score"), 12).alias("score"))
-    best = means.groupBy("group").agg(F.max(F.struct("score", (-F.col("size")).alias("size")))["size"].alias("best"))
-    gone = _union(rounds).where(F.col("group").endswith("|")).select(base, "feature", "size")
-    stayed = left.where(F.col("group").endswith("|")).select(base, "feature", F.lit(least - 1).alias("size"))
-    ranking = F.greatest(F.lit(1), F.col("size") + F.col("best") + 1).cast("int")  # best is negative here
-    return gone.unionByName(stayed).join(best, "group").select("group", "feature", ranking.alias("ranking"), (-F.col("best")).alias("best"))
+    return scores, [*rounds, left.select("group", "feature", F.lit(least - 1).alias("size"))]
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:

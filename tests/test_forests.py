@@ -365,3 +365,10 @@ def test_boosted_classes(spark, samples, leaves):
         plain, held = (forests.boosted_classes(blocks, CLASSES, 3, depth=3, leaf=5, stages=(1,), held_out=h).collect() for h in (False, True))
         assert {(r.stage, tuple(r)[:-1]) for r in plain} == every and len(plain) == len(every) == 2 * (200 * 2 + 90)
         assert {tuple(r) for r in held} == {tuple(r) for r in plain if r.fold == r.held} and len(held) == 2 * (100 + 45)
+
+
+def test_elimination_of_whole_and_dealt_groups(spark, samples):
+    """Runs that one task makes from first to last end as those that go round by round."""
+    binned = forests.binned(samples, forests.equal_width(samples, BINS))
+    told = [sorted(tuple(r) for r in selection.eliminate(forests.packed(binned, block=block), 5, CLASSES, folds=2, least=least, trees=TREES, per_split=2, leaf=LEAF, bag=BAG, depth=DEPTH).collect()) for least in (4,) for block in (None, 64)]
+    assert told[0] == told[1] and len(told[0]) == 15
